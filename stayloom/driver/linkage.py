@@ -342,7 +342,7 @@ def _(v: Views):
 
 @query(
     "vector_mean_pool",
-    """SELECT stay_id, position, round(avg(CAST(value AS DOUBLE)), 6) AS value FROM (
+    """SELECT stay_id, CAST(position AS INTEGER) AS position, round(avg(CAST(value AS DOUBLE)), 6) AS value FROM (
            SELECT stay_id, unnest(embedding) AS value, generate_subscripts(embedding, 1) - 1 AS position FROM vectors)
        GROUP BY stay_id, position""",
     ["vectors"],

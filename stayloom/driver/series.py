@@ -9,6 +9,7 @@ from stayloom.driver.registry import query
 from stayloom.driver.views import OBSERVED, VITALS, Views
 from stayloom.functions.values import clip_outliers
 from stayloom.operators import features, ordered, timeseries
+from stayloom.session import settle
 
 BOUNDS = {c: b for c, b in VITAL_BOUNDS.items() if c in OBSERVED}
 TOTAL, BIN = 48, 6
@@ -39,7 +40,7 @@ SHORT = f"SELECT * FROM ({CLEAN}) WHERE frac_charttime < {TOTAL}"
 
 
 def clean(v: Views):
-    return clip_outliers(v.series, BOUNDS).select("hadm_id", "stay_id", "charttime", "frac_charttime", *OBSERVED)
+    return clip_outliers(v.written_series, BOUNDS).select("hadm_id", "stay_id", "charttime", "frac_charttime", *OBSERVED)
 
 
 @query("vitals_pivot", "SELECT * FROM pivoted", ["pivoted"])
@@ -54,7 +55,7 @@ def _(v: Views):
 
 @query("outlier_clip", CLEAN, ["series"])
 def _(v: Views):
-    return clean(v)
+    return clip_outliers(v.series, BOUNDS).select("hadm_id", "stay_id", "charttime", "frac_charttime", *OBSERVED)
 
 
 @query(
@@ -88,7 +89,7 @@ def _filled(by: str, order: str):
     ["series"],
 )
 def _(v: Views):
-    return ordered.fill_gaps(v.series.select("stay_id", "charttime", *OBSERVED), ["stay_id"], "charttime", OBSERVED)
+    return ordered.fill_gaps(v.written_series.select("stay_id", "charttime", *OBSERVED), ["stay_id"], "charttime", OBSERVED)
 
 
 @query(
@@ -108,7 +109,7 @@ MEDIANS = " UNION ALL ".join(
 
 @query("global_median", f"WITH short AS ({SHORT}) {MEDIANS}", ["series"])
 def _(v: Views):
-    return timeseries.global_medians(v.series, OBSERVED, TOTAL, BOUNDS)
+    return timeseries.global_medians(v.written_series, OBSERVED, TOTAL, BOUNDS)
 
 
 def _imputed(method: str) -> str:
@@ -208,7 +209,7 @@ def train(df):
 def _(v: Views):
     stays = v["icustays"].select("stay_id")
     flat = timeseries.fixed_interval_features(
-        v.series, stays, OBSERVED, BOUNDS, TOTAL, BIN, "forward", median_stays=train(stays)
+        v.written_series, stays, OBSERVED, BOUNDS, TOTAL, BIN, "forward", median_stays=train(stays)
     )
     return rounded(flat, FLAT)
 
@@ -227,9 +228,9 @@ PREPARED = f"""
 
 def prepared(v: Views):
     medians = timeseries.fill_values(
-        clip_outliers(v.series, BOUNDS).where(F.col("frac_charttime") < TOTAL), OBSERVED, "median"
+        clip_outliers(v.written_series, BOUNDS).where(F.col("frac_charttime") < TOTAL), OBSERVED, "median"
     )
-    return timeseries.preprocess(v.series, OBSERVED, TOTAL, BOUNDS, medians)
+    return timeseries.preprocess(v.written_series, OBSERVED, TOTAL, BOUNDS, medians)
 
 
 @query(
@@ -250,7 +251,7 @@ def _(v: Views):
     ["series"],
 )
 def _(v: Views):
-    return timeseries.pad_length(v.series)
+    return timeseries.pad_length(v.written_series)
 
 
 LENGTH = 6
@@ -275,7 +276,7 @@ def _numbered(source: str) -> str:
     ["series"],
 )
 def _(v: Views):
-    padded = timeseries.padded_sequences(v.series, _PAIR, LENGTH)
+    padded = timeseries.padded_sequences(v.written_series, _PAIR, LENGTH)
     slots = F.posexplode(F.arrays_zip(*[F.col(f"`{c}`") for c in (*_PAIR, "input_mask")])).alias("slot", "row")
     return padded.select("stay_id", slots).select(
         "stay_id", "slot", *[F.col("row")[c].alias(c) for c in (*_PAIR, "input_mask")]
@@ -301,7 +302,7 @@ def _tensor_sql() -> str:
 
 @query("ts_tensor", _tensor_sql(), ["series"])
 def _(v: Views):
-    rows = prepared(v)
+    rows = settle(prepared(v))
     scaler = features.fit_scaler(train(rows), OBSERVED)
     tensor = timeseries.sequence_tensor(rows, OBSERVED, scaler, LENGTH)
     return tensor.select("stay_id", F.posexplode("tensor").alias("slot", "row")).select(

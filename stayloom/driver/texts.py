@@ -10,6 +10,7 @@ from stayloom.driver.selection import RADIOLOGY, radiology
 from stayloom.driver.views import VITALS, Views
 from stayloom.operators import joins, notes, profiles
 from stayloom.operators.images import images_of_stays
+from stayloom.session import settle
 
 # --- detail lists and joined texts ----------------------------------------------------------------
 
@@ -140,7 +141,7 @@ def tabular(v: Views):
 
 
 def context(v: Views):
-    return profiles.patient_profiles(tabular(v), v.series, linked_images(v), radiology(v))
+    return profiles.patient_profiles(tabular(v), v.written_series, linked_images(v), settle(radiology(v)))
 
 
 @query("profile_demographics", DEMOGRAPHIC, ["base"])
@@ -150,12 +151,12 @@ def _(v: Views):
 
 @query("profile_vitals", VITAL, ["series"])
 def _(v: Views):
-    return profiles.vital_block(v.series)
+    return profiles.vital_block(v.written_series)
 
 
 @query("profile_reports", REPORT, RADIOLOGY_VIEWS)
 def _(v: Views):
-    return profiles.report_block(radiology(v), tabular(v))
+    return profiles.report_block(settle(radiology(v)), tabular(v))
 
 
 @query("patient_profile", PROFILE, PROFILE_VIEWS)

@@ -8,6 +8,7 @@ text comes from a Dialect.  Some columns are NULL by rule, because the given tab
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -15,6 +16,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from stayloom.config import FINDINGS
+from stayloom.operators.linkage import stays_with_admission
+from stayloom.operators.timeseries import time_series
+from stayloom.operators.windows import stay_base, stay_windows
+from stayloom.session import settle
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -249,28 +254,25 @@ class Views:
 
     @cached_property
     def stays(self) -> DataFrame:
-        from stayloom.operators.linkage import stays_with_admission
-
         return stays_with_admission(self["icustays"], self["admissions"])
 
     @cached_property
     def windows(self) -> DataFrame:
         """Every stay with the window from earliest arrival to outtime."""
-        from stayloom.operators.windows import stay_base, stay_windows
-
         return stay_windows(stay_base(self["icustays"], self["admissions"], self["patients"]))
 
     @cached_property
     def series(self) -> DataFrame:
-        from stayloom.operators.timeseries import time_series
-
         return time_series(self["chartevents"], self.windows, VITALS)
 
+    @cached_property
+    def written_series(self) -> DataFrame:
+        """The series as a written table, which is what features and texts read."""
+        return settle(self.series)
+
 
 def _replace_table(sql: str, name: str) -> str:
     """Point FROM and JOIN at the DataFrame passed under the table's name."""
-    import re
-
     return re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}} AS {name}", sql)
 
 

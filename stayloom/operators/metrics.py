@@ -29,7 +29,7 @@ def _ratio(a: Column, b: Column, empty: Column | None = None) -> Column:
     return ratio if empty is None else F.coalesce(ratio, empty)
 
 
-def _statistics(cells: DataFrame, by: Sequence[str], cuts: Sequence[str], threshold: float = 0.5) -> DataFrame:
+def _statistics(cells: DataFrame, by: Sequence[str], cuts: Sequence[float], threshold: float = 0.5) -> DataFrame:
     """The performance statistics from (by, y_prob, pos, neg), in one pass from the top score down.
 
     Areas are NULL when only one class occurs; tpr and fpr are 0 without positives or negatives.

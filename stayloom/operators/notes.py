@@ -31,7 +31,7 @@ def gather_text(
     separator: str,
     name: str,
     part_size: int = PART,
-    cuts: Sequence[str] | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """(key, part, name): the texts of a key joined in order; `text` may use `position`, 1, 2, …"""
     text = F.col(text) if isinstance(text, str) else text

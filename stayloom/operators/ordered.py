@@ -3,52 +3,64 @@
 A window partitioned by a key alone sends all rows of that key to one task.  Here the order
 column is first cut into slices at approximate quantiles of all rows; a window then runs per
 (key, slice), and what a slice needs from its neighbours comes from one summary row per
-(key, slice).  A slice holds about 1/PIECES of all rows, whichever key they belong to, plus the
-rows that share one order value.  The cut points only balance the work: any cut points give the
-same result.  They are fetched once (at most PIECES values) and pinned as literals, so that
-repeated and retried stages agree.  Keys must not be NULL.
+(key, slice).  A slice holds about `rows_per_slice` rows whichever key they belong to, plus the
+rows that share one order value.  Input of fewer rows than that is one slice and needs no summary.
+
+The cut points only balance the work: any cut points give the same result.  They are fetched once
+(at most MAX_SLICES numbers) and fixed in the plan, so that repeated and retried stages agree.
+Keys must not be NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayloom.functions.values import quoted
 
-PIECES = 128
-_SLICE = "_slice"
+ROWS_PER_SLICE = 1_000_000
+MAX_SLICES = 10_000
+SLICE_SETTING = "spark.stayloom.rowsPerSlice"
+_SLICE, _NUMBER = "_slice", "_number"
 
 
-def cut_points(df: DataFrame, column: str, pieces: int = PIECES) -> list[str]:
-    """Quantiles of `column` as SQL literals, ascending and distinct."""
-    shares = [i / pieces for i in range(1, pieces)]
-    values = df.agg(
-        F.percentile_approx(column, shares, 10 * pieces).cast("array<string>").alias("cuts")
-    ).first()["cuts"]
-    kind = df.schema[column].dataType.simpleString()
-    return [f"CAST('{v}' AS {kind})" for v in dict.fromkeys(values or [])]
+def _number_of(df: DataFrame, column: str) -> Column:
+    """The order value as a double; larger values never map to smaller doubles."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(quoted(column).cast("timestamp")).cast("double")
+    return quoted(column).cast("double")
 
 
-def slice_of(column: str, cuts: Sequence[str]) -> Column:
-    """Number of the slice a value falls into, found by bisection."""
+def cut_points(df: DataFrame, column: str) -> list[float]:
+    """Where to cut `column` so that each slice holds about as many rows as the setting asks for."""
+    per_slice = int(df.sparkSession.conf.get(SLICE_SETTING, str(ROWS_PER_SLICE)))
+    numbers = df.select(_number_of(df, column).alias(_NUMBER))
+    slices = min(MAX_SLICES, -(-numbers.count() // per_slice))
+    if slices < 2:
+        return []
+    shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    quantiles = F.expr(f"percentile_approx({_NUMBER}, array({shares}), {10 * slices})")
+    return sorted(set(numbers.agg(quantiles.alias("cuts")).first()["cuts"] or []))
 
-    def bisect(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return (
-            f"CASE WHEN `{column}` <= {cuts[middle]} THEN {bisect(low, middle)} "
-            f"ELSE {bisect(middle + 1, high)} END"
-        )
 
-    return F.expr(bisect(0, len(cuts)))
+def with_slice(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
+    """Add the number of the slice each row falls into; NULLs fall into the last one."""
+    if not cuts:
+        return df.withColumn(_SLICE, F.lit(0))
+    splits = [float("-inf"), *cuts, float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol=_NUMBER, outputCol="_bucket", handleInvalid="keep")
+    numbered = bucketizer.transform(df.withColumn(_NUMBER, _number_of(df, column)))
+    last = F.lit(len(cuts) + 1)
+    return numbered.withColumn(_SLICE, F.coalesce(F.col("_bucket").cast("int"), last)).drop(_NUMBER, "_bucket")
 
 
-def _sliced(df: DataFrame, order: str, cuts: Sequence[str] | None) -> DataFrame:
-    return df.withColumn(_SLICE, slice_of(order, cut_points(df, order) if cuts is None else cuts))
+def _cuts(df: DataFrame, order: str, cuts: Sequence[float] | None) -> Sequence[float]:
+    return cut_points(df, order) if cuts is None else cuts
 
 
 def running_sum(
@@ -57,24 +69,29 @@ def running_sum(
     order: str,
     sums: Sequence[str],
     descending: bool = False,
-    cuts: Sequence[str] | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """One row per (by, order): the sums there, `cum_*` up to and including it, `total_*` of the key."""
-    cuts = cut_points(df, order) if cuts is None else cuts
+    cuts = _cuts(df, order, cuts)
     cells = df.groupBy(*by, order).agg(*[F.sum(s).alias(s) for s in sums])
-    cells = cells.withColumn(_SLICE, slice_of(order, cuts))
-    rank = F.col(_SLICE).desc() if descending else F.col(_SLICE).asc()
     step = quoted(order).desc() if descending else quoted(order).asc()
-
+    if not cuts:
+        up_to = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
+        whole = up_to.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return cells.select(
+            *by, order, *sums,
+            *[F.sum(s).over(up_to).alias(f"cum_{s}") for s in sums],
+            *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
+        )
+    cells = with_slice(cells, order, cuts)
+    rank = F.col(_SLICE).desc() if descending else F.col(_SLICE).asc()
     slices = Window.partitionBy(*by).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
     before = cells.groupBy(*by, _SLICE).agg(*[F.sum(s).alias(s) for s in sums]).select(
         *by, _SLICE,
         *[F.coalesce(F.sum(s).over(slices), F.lit(0)).alias(f"_before_{s}") for s in sums],
         *[F.sum(s).over(Window.partitionBy(*by)).alias(f"total_{s}") for s in sums],
     )
-    within = (
-        Window.partitionBy(*by, _SLICE).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    within = Window.partitionBy(*by, _SLICE).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
     return cells.join(before, [*by, _SLICE]).select(
         *by, order, *sums,
         *[(F.sum(s).over(within) + F.col(f"_before_{s}")).alias(f"cum_{s}") for s in sums],
@@ -88,31 +105,37 @@ def positions(
     by: Sequence[str] = (),
     ties: Sequence[str] = (),
     name: str = "position",
-    cuts: Sequence[str] | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """Number the rows of each key 1, 2, … by `order` and then `ties`, NULLs last."""
-    rows = _sliced(df, order, cuts)
+    cuts = _cuts(df, order, cuts)
+    steps = [quoted(c).asc_nulls_last() for c in (order, *ties)]
+    columns = [quoted(c) for c in df.columns]
+    if not cuts:
+        number = F.row_number().over(Window.partitionBy(*by).orderBy(*steps))
+        return df.select(*columns, number.cast("bigint").alias(name))
+    rows = with_slice(df, order, cuts)
     slices = Window.partitionBy(*by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     before = rows.groupBy(*by, _SLICE).agg(F.count(F.lit(1)).alias("_n")).select(
         *by, _SLICE, F.coalesce(F.sum("_n").over(slices), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy(*by, _SLICE).orderBy(
-        *[quoted(c).asc_nulls_last() for c in (order, *ties)]
-    )
+    within = Window.partitionBy(*by, _SLICE).orderBy(*steps)
     return rows.join(before, [*by, _SLICE]).select(
-        *[quoted(c) for c in df.columns],
-        (F.row_number().over(within) + F.col("_before")).cast("bigint").alias(name),
+        *columns, (F.row_number().over(within) + F.col("_before")).cast("bigint").alias(name)
     )
 
 
 def next_value(
-    df: DataFrame, by: Sequence[str], order: str, name: str, cuts: Sequence[str] | None = None
+    df: DataFrame, by: Sequence[str], order: str, name: str, cuts: Sequence[float] | None = None
 ) -> DataFrame:
     """Distinct (by, order) with the next larger order value of the same key, or NULL."""
-    cells = _sliced(df.select(*by, order).distinct(), order, cuts)
-    slices = Window.partitionBy(*by).orderBy(_SLICE)
+    cuts = _cuts(df, order, cuts)
+    cells = df.select(*by, order).distinct()
+    if not cuts:
+        return cells.select(*by, order, F.lead(order).over(Window.partitionBy(*by).orderBy(order)).alias(name))
+    cells = with_slice(cells, order, cuts)
     after = cells.groupBy(*by, _SLICE).agg(F.min(order).alias("_first")).select(
-        *by, _SLICE, F.lead("_first").over(slices).alias("_after")
+        *by, _SLICE, F.lead("_first").over(Window.partitionBy(*by).orderBy(_SLICE)).alias("_after")
     )
     within = Window.partitionBy(*by, _SLICE).orderBy(order)
     return cells.join(after, [*by, _SLICE]).select(
@@ -126,41 +149,50 @@ def fill_gaps(
     order: str,
     columns: Sequence[str],
     backward: bool = True,
-    cuts: Sequence[str] | None = None,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """Replace NULLs by the last value before, then (with `backward`) by the first value after.
 
     `order` must be unique within a key.
     """
-    rows = _sliced(df, order, cuts)
-    present = {c: F.when(quoted(c).isNotNull(), quoted(order)) for c in columns}
-    edges = [F.max_by(quoted(c), present[c]).alias(f"_last_{i}") for i, c in enumerate(columns)]
-    if backward:
-        edges += [F.min_by(quoted(c), present[c]).alias(f"_first_{i}") for i, c in enumerate(columns)]
+    cuts = _cuts(df, order, cuts)
+    rows = with_slice(df, order, cuts)
+    within = Window.partitionBy(*by, *([_SLICE] if cuts else [])).orderBy(order)
+    up_to = within.rowsBetween(Window.unboundedPreceding, 0)
+    from_on = within.rowsBetween(0, Window.unboundedFollowing)
+    if cuts:
+        rows = rows.join(_edges(rows, by, order, columns, backward), [*by, _SLICE])
+
+    def filled(i: int, c: str) -> Column:
+        sources = [F.last(quoted(c), ignorenulls=True).over(up_to)]
+        if cuts:
+            sources.append(F.col(f"_carry_{i}"))
+        if backward:
+            sources.append(F.first(quoted(c), ignorenulls=True).over(from_on))
+            if cuts:
+                sources.append(F.col(f"_ahead_{i}"))
+        return F.coalesce(*sources).alias(c)
+
+    new = {c: filled(i, c) for i, c in enumerate(columns)}
+    return rows.select(*[new.get(c, quoted(c)) for c in df.columns])
+
+
+def _edges(
+    rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], backward: bool
+) -> DataFrame:
+    """Per (key, slice) the last known value of earlier slices and the first of later ones."""
     slices = Window.partitionBy(*by).orderBy(_SLICE)
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
     later = slices.rowsBetween(1, Window.unboundedFollowing)
-    carried = [
-        F.last(f"_last_{i}", ignorenulls=True).over(earlier).alias(f"_carry_{i}")
-        for i in range(len(columns))
-    ]
-    if backward:
-        carried += [
-            F.first(f"_first_{i}", ignorenulls=True).over(later).alias(f"_ahead_{i}")
-            for i in range(len(columns))
-        ]
-    carry = rows.groupBy(*by, _SLICE).agg(*edges).select(*by, _SLICE, *carried)
-
-    within = Window.partitionBy(*by, _SLICE).orderBy(order)
-    up_to = within.rowsBetween(Window.unboundedPreceding, 0)
-    from_on = within.rowsBetween(0, Window.unboundedFollowing)
-    filled = {}
+    ends, carried = [], []
     for i, c in enumerate(columns):
-        sources = [F.last(quoted(c), ignorenulls=True).over(up_to), F.col(f"_carry_{i}")]
+        known = F.when(quoted(c).isNotNull(), quoted(order))
+        ends.append(F.max_by(quoted(c), known).alias(f"_last_{i}"))
+        carried.append(F.last(f"_last_{i}", ignorenulls=True).over(earlier).alias(f"_carry_{i}"))
         if backward:
-            sources += [F.first(quoted(c), ignorenulls=True).over(from_on), F.col(f"_ahead_{i}")]
-        filled[c] = F.coalesce(*sources).alias(c)
-    return rows.join(carry, [*by, _SLICE]).select(*[filled.get(c, quoted(c)) for c in df.columns])
+            ends.append(F.min_by(quoted(c), known).alias(f"_first_{i}"))
+            carried.append(F.first(f"_first_{i}", ignorenulls=True).over(later).alias(f"_ahead_{i}"))
+    return rows.groupBy(*by, _SLICE).agg(*ends).select(*by, _SLICE, *carried)
 
 
 def exact_quantiles(

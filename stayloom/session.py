@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_local_folder: str | None = None
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings every plan in this package relies on."""
@@ -24,31 +27,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "stayloom", **conf: str) -> SparkSession:
-    """A session for the command line; the cluster's own settings win unless named in `conf`."""
-    builder = SparkSession.builder.appName(app)
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
-    return tune(builder.getOrCreate())
+def build_session(app: str = "stayloom") -> SparkSession:
+    """A session for the command line; everything else comes from the cluster's own settings."""
+    return tune(SparkSession.builder.appName(app).getOrCreate())
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="stayloom-checkpoint-")
-    context.setCheckpointDir(shared)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; a temporary one only in a local session without it."""
+    global _local_folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    _local_folder = _local_folder or tempfile.mkdtemp(prefix="stayloom-")
+    return _local_folder
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from the written copy.
+    """Write `df` to the shared folder and go on from the written table.
 
-    Used where several consumers must see one result without computing it again, and where
-    lost executors should not send a job back to the sources.
+    Used where several consumers must see one result without computing it again, and where lost
+    executors should not send a job back to the sources.  Spark knows the size of the written
+    table when it plans the joins that follow, and reads only the columns they need.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -71,6 +71,8 @@ def main() -> int:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("ROWS_PER_SLICE"):
+        spark.conf.set("spark.stayloom.rowsPerSlice", os.environ["ROWS_PER_SLICE"])
     con = duckdb.connect()
     for table in TABLES:
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
