@@ -129,18 +129,18 @@ def fused(v: Views) -> features.FusedFeatures:
     text = v["labels"].select(
         F.col("doc_id").alias("stay_id"), F.col("quality").alias("txt_0"), F.col("toxic").alias("txt_1")
     )
-    return features.fuse(
-        rows.select("stay_id", "age", "los"),
-        means,
-        features.spread_vector(vectors, "embedding", "img_", _SIZE),
-        text,
-        rows.select("stay_id", los_binary(3).alias("los_binary")),
-    )
+    blocks = {
+        "tabular": features.column_block(rows.select("stay_id", "age", "los")),
+        "time_series": features.column_block(means),
+        "image": features.vector_block(vectors, "embedding", _SIZE, "img_"),
+        "text": features.column_block(text),
+    }
+    return features.fuse(blocks, rows.select("stay_id", los_binary(3).alias("los_binary")))
 
 
 @query("feature_fusion", FUSED, ["base", "series"])
 def _(v: Views):
-    return fused(v).data
+    return fused(v).spread()
 
 
 def _mix_sql() -> str:

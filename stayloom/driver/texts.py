@@ -161,7 +161,7 @@ def _(v: Views):
 
 @query("patient_profile", PROFILE, PROFILE_VIEWS)
 def _(v: Views):
-    return context(v)
+    return context(v).drop("last")
 
 
 # --- records and prompts --------------------------------------------------------------------------

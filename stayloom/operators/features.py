@@ -128,48 +128,69 @@ def demographic_features(
 # --- fusion -------------------------------------------------------------------------------------
 
 
+@dataclass
+class Block:
+    """One modality's features: a table of key and array, and the names of the array's elements."""
+
+    data: DataFrame
+    names: list[str]
+
+
+def column_block(df: DataFrame, key: str = "stay_id") -> Block:
+    """A block from one column per feature."""
+    names = [c for c in df.columns if c != key]
+    values = F.array(*[F.coalesce(quoted(c).cast("double"), F.lit(0.0)) for c in names])
+    return Block(df.select(key, values.alias("values")), names)
+
+
+def vector_block(df: DataFrame, vector: str, size: int, prefix: str, key: str = "stay_id") -> Block:
+    """A block from an array column of known size; elements are named `<prefix><i>`."""
+    values = F.transform(F.col(vector), lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
+    return Block(df.select(key, values.alias("values")), [f"{prefix}{i}" for i in range(size)])
+
+
 @dataclass
 class FusedFeatures:
-    """Feature blocks joined by stay, with the column names of each block."""
+    """Feature arrays of all blocks and the outcome, one row per stay."""
 
     data: DataFrame
-    blocks: dict[str, list[str]]
+    names: dict[str, list[str]]
+    key: str = "stay_id"
 
     def columns(self, mix: str) -> list[str]:
-        """Feature columns of a modality mix."""
-        return [c for block in MODALITY_MIXES[mix] for c in self.blocks.get(block, [])]
+        """Feature names of a modality mix, in the order of its vectors."""
+        return [c for block in MODALITY_MIXES[mix] if block in self.names for c in self.names[block]]
 
-    def vectors(self, mix: str, label: str, key: str = "stay_id", others: Sequence[str] = ()) -> DataFrame:
-        """Key, label and the mix's features as one array."""
+    def vectors(self, mix: str, label: str) -> DataFrame:
+        """Key, y_true and the mix's features as one array."""
+        blocks = [b for b in MODALITY_MIXES[mix] if b in self.names]
         return self.data.select(
-            key, *others, F.col(label).alias("y_true"),
-            F.array(*[quoted(c).cast("double") for c in self.columns(mix)]).alias("features"),
+            self.key, F.col(label).alias("y_true"), F.concat(*[F.col(b) for b in blocks]).alias("features")
         )
 
-
-def spread_vector(df: DataFrame, vector: str, prefix: str, size: int, key: str = "stay_id") -> DataFrame:
-    """One column `<prefix><i>` per element of an array column."""
-    return df.select(
-        key, *[F.get(vector, F.lit(i)).cast("double").alias(f"{prefix}{i}") for i in range(size)]
-    )
-
-
-def fuse(
-    tabular: DataFrame,
-    time_series: DataFrame,
-    image: DataFrame,
-    text: DataFrame,
-    outcome: DataFrame,
-    key: str = "stay_id",
-) -> FusedFeatures:
-    """Join the blocks to the tabular rows by stay; features a stay lacks become 0."""
-    blocks = {
-        name: [c for c in df.columns if c != key]
-        for name, df in (("tabular", tabular), ("time_series", time_series), ("image", image), ("text", text))
+    def spread(self) -> DataFrame:
+        """One column per feature; meant for narrow blocks."""
+        cells = [
+            F.get(block, F.lit(i)).alias(name)
+            for block, names in self.names.items()
+            for i, name in enumerate(names)
+        ]
+        others = [c for c in self.data.columns if c != self.key and c not in self.names]
+        return self.data.select(self.key, *cells, *[quoted(c) for c in others])
+
+
+def fuse(blocks: Mapping[str, Block], outcome: DataFrame, key: str = "stay_id") -> FusedFeatures:
+    """Join the blocks to the rows of the first one by key; a block a stay lacks becomes zeros.
+
+    Blocks stay arrays, so a wide embedding is one column in every join and shuffle.
+    """
+    data = None
+    for name, block in blocks.items():
+        part = block.data.withColumnRenamed("values", name)
+        data = part if data is None else data.join(part, key, "left")
+    zeros = {
+        name: F.coalesce(F.col(name), F.array_repeat(F.lit(0.0), len(block.names)))
+        for name, block in blocks.items()
     }
-    data = tabular
-    for df in (time_series, image, text):
-        data = data.join(df, key, "left")
-    features = [c for names in blocks.values() for c in names]
-    data = data.select(key, *[F.coalesce(quoted(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
-    return FusedFeatures(data.join(outcome, key, "left"), blocks)
+    data = data.withColumns(zeros).join(outcome, key, "left")
+    return FusedFeatures(data, {name: block.names for name, block in blocks.items()}, key)

@@ -236,6 +236,20 @@ def modality_contribution(
     return shares.unpivot([], [quoted(m) for m in modalities], "modality", "contribution")
 
 
+def block_contribution(
+    fused: DataFrame, coefficients: Mapping[str, Sequence[float]], digits: int = 6
+) -> DataFrame:
+    """`modality_contribution` for feature arrays: one array column and its coefficients per modality."""
+
+    def total(block: str) -> Column:
+        weights = F.array(*[F.lit(float(c)) for c in coefficients[block]])
+        products = F.zip_with(F.col(block), weights, lambda x, c: x * c)
+        return F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
+
+    sums = fused.select(*[total(b).alias(b) for b in coefficients])
+    return modality_contribution(sums, {b: 1.0 for b in coefficients}, {b: [b] for b in coefficients}, digits)
+
+
 def grouped_attribution(
     attributions: DataFrame, modalities: Mapping[str, Sequence[str]], keep: Sequence[str] = ()
 ) -> DataFrame:

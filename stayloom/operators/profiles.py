@@ -14,6 +14,7 @@ from stayloom.operators.images import latest_image
 from stayloom.operators.notes import PART, gather_text
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.timeseries import last_hours
+from stayloom.session import settle
 
 # --- fixed values: the texts around the data -------------------------------------------------------
 
@@ -80,6 +81,13 @@ SYSTEM_TEXTS = {
 
 # ----------------------------------------------------------------------------------------------------
 
+_BLOCK = 1_000_000  # more pieces than one block can have
+
+RECORD_SCHEMA = (
+    "id bigint, part int, last boolean, context string, image string, "
+    "question map<string,string>, answer map<string,int>"
+)
+
 
 def demographic_block(tabular: DataFrame, key: str = "stay_id") -> DataFrame:
     """(key, demographics): age, gender, race and so on, one line each."""
@@ -150,39 +158,46 @@ def patient_profiles(
     tabular: DataFrame, series: DataFrame, images: DataFrame, radiology: DataFrame, key: str = "stay_id",
     part_size: int = PART,
 ) -> DataFrame:
-    """(key, part, context): the blocks a stay has, one after the other.
+    """(key, part, last, context): the blocks a stay has, one after the other.
 
-    A stay with more lines than one part holds goes on in further parts; its whole profile is
-    the parts joined without a separator.
+    A stay whose blocks all fit one part is one row.  A longer one is a row per piece of its
+    blocks: joined in `part` order without separator they give the profile, `last` marks the end.
     """
-    demo = demographic_block(tabular, key).select(
-        key, F.lit(0).alias("block"), F.lit(0).alias("piece"), F.col("demographics").alias("text")
-    )
-    vitals = vital_block(series, 2, key, part_size).select(
-        key, F.lit(1).alias("block"), F.col("part").alias("piece"), F.col("vital_signs").alias("text")
-    )
-    pictures = image_block(images, key).select(
-        key, F.lit(2).alias("block"), F.lit(0).alias("piece"), F.col("images").alias("text")
-    )
     if "detail_part" in radiology.columns:
         radiology = radiology.where("detail_part = 0")
-    reports = report_block(radiology, tabular, key, part_size).select(
-        key, F.lit(3).alias("block"), F.col("part").alias("piece"), F.col("reports").alias("text")
+
+    def block(df: DataFrame, number: int, text: str) -> DataFrame:
+        piece = F.col("part") if "part" in df.columns else F.lit(0)
+        return df.select(key, F.lit(number).alias("block"), piece.alias("piece"), F.col(text).alias("text"))
+
+    blocks = settle(
+        block(demographic_block(tabular, key), 0, "demographics")
+        .unionByName(block(vital_block(series, 2, key, part_size), 1, "vital_signs"))
+        .unionByName(block(image_block(images, key), 2, "images"))
+        .unionByName(block(report_block(radiology, tabular, key, part_size), 3, "reports"))
+    )
+    place = F.col("block") * _BLOCK + F.col("piece")
+    long_ones = (
+        blocks.groupBy(key)
+        .agg(F.max("piece").alias("_pieces"), F.max(place).alias("_end"))
+        .where(F.col("_pieces") > 0)
+        .select(key, "_end")
     )
-    blocks = demo.unionByName(vitals).unionByName(pictures).unionByName(reports)
     # Blocks are joined by a line break, the pieces of one block by nothing.
-    opening = (F.col("piece") == 0) & (F.col("block") > 0)
-    text = F.concat(F.when(opening, F.lit("\n")).otherwise(F.lit("")), F.col("text"))
-    # First pieces make up part 0, the n-th pieces of the long blocks follow in block order.
-    first = F.col("piece") == 0
-    more = blocks.where(~first).select(key, F.lit(1).alias("later")).distinct()
-    whole = blocks.join(more, key, "left")
+    opens = (F.col("piece") == 0) & (F.col("block") > 0)
+    text = F.concat(F.when(opens, F.lit("\n")).otherwise(F.lit("")), F.col("text"))
+    part = F.when(F.col("_end").isNull(), F.lit(0)).otherwise(place)
     member = F.struct("block", "piece", text.alias("text"))
-    # A stay whose blocks all have one piece is one row; a longer one keeps a row per piece.
-    part = F.when(F.col("later").isNull(), F.lit(0)).otherwise(F.col("block") * 1_000_000 + F.col("piece"))
-    joined = whole.groupBy(key, part.alias("part")).agg(F.array_sort(F.collect_list(member)).alias("rows"))
+    joined = (
+        blocks.join(long_ones, key, "left")
+        .groupBy(key, part.alias("part"))
+        .agg(F.array_sort(F.collect_list(member)).alias("rows"), F.max("_end").alias("_end"))
+    )
     return joined.select(
-        key, "part", F.array_join(F.transform("rows", lambda r: r["text"]), "").alias("context")
+        key,
+        "part",
+        (F.col("part") == F.coalesce("_end", F.lit(0))).alias("last"),
+        F.array_join(F.transform("rows", lambda r: r["text"]), "").alias("context"),
     )
 
 
@@ -205,7 +220,7 @@ def qa_records(
     return (
         keyed.join(profiles, key)
         .join(paths, key, "left")
-        .select("id", "part", "context", "image", question.alias("question"), answer.alias("answer"))
+        .select("id", "part", "last", "context", "image", question.alias("question"), answer.alias("answer"))
     )
 
 
@@ -215,13 +230,11 @@ def prompts(records: DataFrame, outcome: str, style: str = "plain", system: str
     The opening goes on the first part of a record and the question on its last one.
     """
     between, closing = PROMPT_STYLES[style]
-    ends = records.groupBy("id").agg(F.min("part").alias("_first"), F.max("part").alias("_last"))
-    opening = F.when(F.col("part") == F.col("_first"), F.lit(PROMPT_HEAD)).otherwise(F.lit(""))
+    opening = F.when(F.col("part") == 0, F.lit(PROMPT_HEAD)).otherwise(F.lit(""))
     ending = F.when(
-        F.col("part") == F.col("_last"),
-        F.concat(F.lit(between), F.col("question")[outcome], F.lit(closing)),
+        F.col("last"), F.concat(F.lit(between), F.col("question")[outcome], F.lit(closing))
     ).otherwise(F.lit(""))
-    return records.join(ends, "id").select(
+    return records.select(
         "id",
         "part",
         F.lit(SYSTEM_TEXTS[system] if system else None).cast("string").alias("system"),
