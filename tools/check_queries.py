@@ -42,7 +42,7 @@ def compare(name: str, spark: SparkSession, con, folder: str) -> tuple[str, floa
     seconds = time.time() - start
     if name not in ORACLES:
         return f"rows only: {got.num_rows}", seconds
-    want = con.execute(ORACLES[name]).to_arrow_table()
+    want = con.sql(ORACLES[name]).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"COLUMNS differ: {sorted(got.column_names)} / {sorted(want.column_names)}", seconds
     notes = []
