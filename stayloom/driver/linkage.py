@@ -16,7 +16,7 @@ from stayloom.sources.sinks import sorted_by
 
 
 def image_link(v: Views):
-    return linkage.link_images(v.stays, linkage.image_datetimes(v["cxr_metadata"]))
+    return linkage.link_images(v.stays, v.timed_metadata)
 
 
 def discharge_link(v: Views):
@@ -225,14 +225,9 @@ _LABELS = ", ".join(
 )
 
 
-def timed_metadata(v: Views):
-    metadata = v["cxr_metadata"]
-    return metadata.withColumn("StudyDatetime", packed_datetime("StudyDate", "StudyTime"))
-
-
 def index(v: Views):
     return images.image_index(
-        timed_metadata(v), image_link(v), v.windows, v["cxr_image_path"], v["cxr_text_path"],
+        v.timed_metadata, image_link(v), v.windows, v["cxr_image_path"], v["cxr_text_path"],
         {"chexpert": v["cxr_chexpert"], "negbio": v["cxr_negbio"]},
     )
 
@@ -322,7 +317,7 @@ def _(v: Views):
     ["link_image", "image_times", "cxr_metadata"],
 )
 def _(v: Views):
-    rows = timed_metadata(v).select("subject_id", "study_id", "dicom_id", "StudyDatetime", "ViewPosition")
+    rows = v.timed_metadata.select("subject_id", "study_id", "dicom_id", "StudyDatetime", "ViewPosition")
     return images.latest_image(images.images_of_stays(rows, image_link(v)))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayloom.driver.linkage import image_link, timed_metadata
+from stayloom.driver.linkage import image_link
 from stayloom.driver.registry import query
 from stayloom.driver.selection import RADIOLOGY, radiology
 from stayloom.driver.views import VITALS, Views
@@ -131,7 +131,7 @@ PROFILE_VIEWS = ["base", "series", "link_image", *RADIOLOGY_VIEWS]
 
 
 def linked_images(v: Views):
-    return images_of_stays(timed_metadata(v), image_link(v))
+    return images_of_stays(v.timed_metadata, image_link(v))
 
 
 def tabular(v: Views):

@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from stayloom.config import FINDINGS
+from stayloom.functions.times import packed_datetime
 from stayloom.operators.linkage import stays_with_admission
 from stayloom.operators.timeseries import time_series
 from stayloom.operators.windows import stay_base, stay_windows
@@ -42,7 +43,6 @@ VITALS = [*OBSERVED, "GCS - Eye Opening"]  # the last one never occurs
 class Dialect:
     days: Callable[[str], str]
     hours: Callable[[str], str]
-    date_number: Callable[[str], str]
     hours_since_2024: Callable[[str], str]
     quotient: Callable[[str, int], str]
 
@@ -50,14 +50,12 @@ class Dialect:
 SPARK = Dialect(
     days=lambda n: f"make_dt_interval(CAST({n} AS INT))",
     hours=lambda n: f"make_dt_interval(0, CAST({n} AS INT))",
-    date_number=lambda t: f"CAST(date_format({t}, 'yyyyMMdd') AS INT)",
     hours_since_2024=lambda t: f"(unix_seconds(CAST({t} AS TIMESTAMP)) - 1704067200) div 3600",
     quotient=lambda a, b: f"({a}) div {b}",
 )
 DUCK = Dialect(
     days=lambda n: f"to_days(CAST({n} AS INTEGER))",
     hours=lambda n: f"to_hours(CAST({n} AS BIGINT))",
-    date_number=lambda t: f"CAST(strftime({t}, '%Y%m%d') AS INTEGER)",
     hours_since_2024=lambda t: f"date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', {t})",
     quotient=lambda a, b: f"({a}) // {b}",
 )
@@ -117,7 +115,7 @@ def _chartevents(d: Dialect) -> str:
 
 
 def _metadata(d: Dialect) -> str:
-    date = d.date_number("l_shipdate")
+    date = "CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INT)"
     return f"""
         SELECT o_custkey AS subject_id, l_orderkey AS study_id,
                CAST(l_orderkey AS VARCHAR(20)) || '-' || CAST(l_linenumber AS VARCHAR(20)) || '-'
@@ -265,6 +263,12 @@ class Views:
     def series(self) -> DataFrame:
         return time_series(self["chartevents"], self.windows, VITALS)
 
+    @cached_property
+    def timed_metadata(self) -> DataFrame:
+        """Image metadata with its timestamp as a written table, as the master export keeps it."""
+        metadata = self["cxr_metadata"]
+        return settle(metadata.withColumn("StudyDatetime", packed_datetime("StudyDate", "StudyTime")))
+
     @cached_property
     def written_series(self) -> DataFrame:
         """The series as a written table, which is what features and texts read."""

@@ -27,8 +27,16 @@ def coerce_datetimes(df: DataFrame, words: Sequence[str] = DATETIME_WORDS) -> Da
 def packed_datetime(date: str | Column, time: str | Column) -> Column:
     """Timestamp from an integer YYYYMMDD and a number HHMMSS.fff; the fraction is dropped."""
     date, time = (F.col(c) if isinstance(c, str) else c for c in (date, time))
-    clock = F.substring(F.format_string("%010.3f", time.cast("double")), 1, 6)
-    return F.to_timestamp_ntz(F.concat(date.cast("int").cast("string"), clock), F.lit("yyyyMMddHHmmss"))
+    day = date.cast("int")
+    clock = F.floor(F.round(time.cast("double"), 3)).cast("int")
+
+    def digits(number: Column, skip: int) -> Column:
+        return F.floor(number / F.lit(10**skip)).cast("int") % 100
+
+    return F.make_timestamp_ntz(
+        F.floor(day / F.lit(10000)).cast("int"), digits(day, 2), digits(day, 0),
+        digits(clock, 4), digits(clock, 2), digits(clock, 0),
+    )
 
 
 def hours(count: int | Column) -> Column:

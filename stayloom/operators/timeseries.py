@@ -11,6 +11,7 @@ from stayloom.functions.times import hours_between
 from stayloom.functions.values import clip_outliers, quoted
 from stayloom.operators.ordered import exact_quantiles, fill_gaps, positions
 from stayloom.operators.windows import in_window
+from stayloom.session import settle
 
 READING = ["hadm_id", "stay_id", "charttime"]
 
@@ -225,7 +226,7 @@ def fixed_interval_features(
     n_bins = bin_count(total_length, bin_length)
     binned = time_bins(clip_outliers(series, bounds), stays, variables, total_length, bin_length)
     filled = fill_bins(binned, variables, method)
-    flat = flatten_bins(filled, variables, n_bins)
+    flat = settle(flatten_bins(filled, variables, n_bins))
     names = flat_names(variables, n_bins)
     learnt_on = flat if median_stays is None else flat.join(
         median_stays.select("stay_id").distinct(), "stay_id", "left_semi"
