@@ -32,7 +32,10 @@ def run_training(spark, a) -> None:
         a.start_diff, a.end_diff, a.tabular_variables, a.vital_signs_variables,
         los_range=a.los_range, readmission_range=a.readmission_range, debug_limit=a.debug_limit,
     )
-    training.export_training(spark, a.input_dir, a.output_dir, config).show(truncate=False)
+    audit = training.export_training(
+        spark, a.input_dir, a.output_dir, config, not a.unsorted, not a.descending
+    )
+    audit.show(truncate=False)
 
 
 def run_demographics(spark, a) -> None:
@@ -141,6 +144,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--vital-signs-variables", nargs="+", default=VITAL_SIGNS)
     c.add_argument("--los-range", type=float, default=3)
     c.add_argument("--readmission-range", type=int, default=30)
+    c.add_argument("--unsorted", action="store_true")
+    c.add_argument("--descending", action="store_true")
     c.add_argument("--debug-limit", type=int)
 
     c = command("demographics", run_demographics, "demographic features")

@@ -221,7 +221,7 @@ def _(v: Views):
 # --- images -------------------------------------------------------------------------------------
 
 _LABELS = ", ".join(
-    f'{t}."{f}" AS "{name}_{f}"' for name, t in (("chexpert", "ch"), ("negbio", "nb")) for f in FINDINGS
+    f'cxr_{name}."{f}" AS "{name}_{f}"' for name in ("chexpert", "negbio") for f in FINDINGS
 )
 
 
@@ -246,17 +246,16 @@ def _(v: Views):
 
 
 IMAGE_INDEX = f"""
-    SELECT l.stay_id, m.*, t."StudyDatetime", ip.path AS image_path, tp.path AS text_path, {_LABELS}
-    FROM cxr_metadata m
-    JOIN image_times t ON m.subject_id = t.subject_id AND m.study_id = t.study_id AND m.dicom_id = t.dicom_id
-    JOIN link_image l ON m.subject_id = l.subject_id AND m.study_id = l.study_id AND m.dicom_id = l.dicom_id
-    JOIN windows w ON l.stay_id = w.stay_id
-    LEFT JOIN cxr_image_path ip
-        ON m.subject_id = ip.subject_id AND m.study_id = ip.study_id AND m.dicom_id = ip.dicom_id
-    LEFT JOIN cxr_text_path tp ON m.subject_id = tp.subject_id AND m.study_id = tp.study_id
-    LEFT JOIN cxr_chexpert ch ON m.subject_id = ch.subject_id AND m.study_id = ch.study_id
-    LEFT JOIN cxr_negbio nb ON m.subject_id = nb.subject_id AND m.study_id = nb.study_id
-    WHERE t."StudyDatetime" > w.start_time AND t."StudyDatetime" < w.end_time"""
+    SELECT stay_id, subject_id, study_id, dicom_id, "StudyDate", "StudyTime", "ViewPosition", "StudyDatetime",
+           cxr_image_path.path AS image_path, cxr_text_path.path AS text_path, {_LABELS}
+    FROM cxr_metadata JOIN image_times USING (subject_id, study_id, dicom_id)
+    JOIN (SELECT stay_id, subject_id, study_id, dicom_id FROM link_image) USING (subject_id, study_id, dicom_id)
+    JOIN (SELECT stay_id, start_time, end_time FROM windows) USING (stay_id)
+    LEFT JOIN cxr_image_path USING (subject_id, study_id, dicom_id)
+    LEFT JOIN cxr_text_path USING (subject_id, study_id)
+    LEFT JOIN cxr_chexpert USING (subject_id, study_id)
+    LEFT JOIN cxr_negbio USING (subject_id, study_id)
+    WHERE "StudyDatetime" > start_time AND "StudyDatetime" < end_time"""
 IMAGE_INDEX_VIEWS = [
     "cxr_metadata", "image_times", "link_image", "windows", "cxr_image_path", "cxr_text_path",
     "cxr_chexpert", "cxr_negbio",

@@ -136,15 +136,13 @@ def _(v: Views):
 # --- outcomes -----------------------------------------------------------------------------------
 
 READMISSION = """
-    CASE WHEN EXISTS (SELECT 1 FROM windows b WHERE b.subject_id = w.subject_id AND b.intime > w.intime
-        AND b.intime <= w.outtime + INTERVAL 30 DAY) THEN 1 ELSE 0 END AS readmission"""
+    CAST(w.stay_id IN (SELECT a.stay_id FROM windows a JOIN windows later USING (subject_id)
+        WHERE later.intime > a.intime AND later.intime - to_days(30) <= a.outtime) AS INTEGER) AS readmission"""
 OUTCOMES = f"""
     SELECT w.stay_id,
-           CASE WHEN w.hospital_expire_flag = 0 THEN 0
-                WHEN w.deathtime IS NOT NULL
-                    THEN CASE WHEN w.deathtime > w.intime AND w.deathtime < w.outtime THEN 1 ELSE 0 END
-                ELSE CASE WHEN w.dod > w.intime AND w.dod < w.outtime THEN 1 ELSE 0 END END AS icu_expire_flag,
-           CASE WHEN w.los > 3 THEN 1 ELSE 0 END AS los_binary, {READMISSION}
+           CAST(coalesce(hospital_expire_flag, 1) <> 0 AND coalesce(
+               coalesce(deathtime, dod) > intime AND coalesce(deathtime, dod) < outtime, false) AS INTEGER) AS icu_expire_flag,
+           CAST(w.los > 3 AS INTEGER) AS los_binary, {READMISSION}
     FROM windows w"""
 
 

@@ -187,7 +187,8 @@ def _(v: Views):
     ["series", "icustays"],
 )
 def _(v: Views):
-    return rounded(timeseries.flatten_bins(bins(v), OBSERVED, N_BINS), FLAT)
+    means = timeseries.bin_means(clean(v), OBSERVED, TOTAL, BIN)
+    return rounded(timeseries.flatten_bins(means, v["icustays"], OBSERVED, N_BINS), FLAT)
 
 
 SPLIT_NUMBER = "CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 7)) AS BIGINT) % 1000"

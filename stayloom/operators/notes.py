@@ -17,7 +17,8 @@ from stayloom.functions.values import quoted
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.windows import in_window
 
-PART = 10_000
+PART = 2_000
+TEXTS_PER_SLICE = 20_000  # rows that carry long texts
 DETAIL = ["field_name", "field_value", "field_ordinal"]
 NOTE = ["subject_id", "hadm_id", "note_id"]
 
@@ -60,7 +61,7 @@ def detail_lists(notes: DataFrame, part_size: int = PART) -> DataFrame:
     rows = notes.withColumn("_version", F.xxhash64(*[quoted(c) for c in carried]))
     by = ["note_id", "_version"]
     numbered = positions(
-        rows, "field_ordinal", by, ["field_name", "field_value"], cuts=cut_points(notes, "field_ordinal")
+        rows, "field_ordinal", by, ["field_name", "field_value"], cuts=cut_points(notes, "field_ordinal", TEXTS_PER_SLICE)
     )
     field = F.struct(
         F.col("field_name").alias("name"),
@@ -107,7 +108,7 @@ def joined_texts(notes: DataFrame, key: str = "stay_id", separator: str = " [SEP
     """The distinct texts of each stay with a separator between them."""
     return gather_text(
         distinct_texts(notes, key), key, "charttime", ["note_id"], "text", separator, "text",
-        part_size, cut_points(notes, "charttime"),
+        part_size, cut_points(notes, "charttime", TEXTS_PER_SLICE),
     )
 
 
@@ -118,5 +119,5 @@ def numbered_texts(notes: DataFrame, key: str = "stay_id", part_size: int = PART
     )
     return gather_text(
         distinct_texts(notes, key), key, "charttime", ["note_id"], report, "", "text",
-        part_size, cut_points(notes, "charttime"),
+        part_size, cut_points(notes, "charttime", TEXTS_PER_SLICE),
     )

@@ -36,9 +36,12 @@ def _number_of(df: DataFrame, column: str) -> Column:
     return quoted(column).cast("double")
 
 
-def cut_points(df: DataFrame, column: str) -> list[float]:
-    """Where to cut `column` so that each slice holds about as many rows as the setting asks for."""
-    per_slice = int(df.sparkSession.conf.get(SLICE_SETTING, str(ROWS_PER_SLICE)))
+def cut_points(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
+    """Where to cut `column` so that each slice holds about `rows_per_slice` rows.
+
+    The session setting spark.stayloom.rowsPerSlice, when there, takes its place.
+    """
+    per_slice = int(df.sparkSession.conf.get(SLICE_SETTING, str(rows_per_slice)))
     numbers = df.select(_number_of(df, column).alias(_NUMBER))
     slices = min(MAX_SLICES, -(-numbers.count() // per_slice))
     if slices < 2:
@@ -159,7 +162,9 @@ def fill_gaps(
     rows = with_slice(df, order, cuts)
     within = Window.partitionBy(*by, *([_SLICE] if cuts else [])).orderBy(order)
     up_to = within.rowsBetween(Window.unboundedPreceding, 0)
-    from_on = within.rowsBetween(0, Window.unboundedFollowing)
+    # A value still missing after filling forward has nothing known before it, so the first known
+    # value of the whole slice is the first one after it; a frame per row is not needed.
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if cuts:
         rows = rows.join(_edges(rows, by, order, columns, backward), [*by, _SLICE])
 
@@ -168,7 +173,7 @@ def fill_gaps(
         if cuts:
             sources.append(F.col(f"_carry_{i}"))
         if backward:
-            sources.append(F.first(quoted(c), ignorenulls=True).over(from_on))
+            sources.append(F.first(quoted(c), ignorenulls=True).over(whole))
             if cuts:
                 sources.append(F.col(f"_ahead_{i}"))
         return F.coalesce(*sources).alias(c)
@@ -180,10 +185,10 @@ def fill_gaps(
 def _edges(
     rows: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], backward: bool
 ) -> DataFrame:
-    """Per (key, slice) the last known value of earlier slices and the first of later ones."""
+    """Per (key, slice) the last known value of earlier slices and the first one of the key."""
     slices = Window.partitionBy(*by).orderBy(_SLICE)
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    later = slices.rowsBetween(1, Window.unboundedFollowing)
+    whole = slices.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends, carried = [], []
     for i, c in enumerate(columns):
         known = F.when(quoted(c).isNotNull(), quoted(order))
@@ -191,7 +196,7 @@ def _edges(
         carried.append(F.last(f"_last_{i}", ignorenulls=True).over(earlier).alias(f"_carry_{i}"))
         if backward:
             ends.append(F.min_by(quoted(c), known).alias(f"_first_{i}"))
-            carried.append(F.first(f"_first_{i}", ignorenulls=True).over(later).alias(f"_ahead_{i}"))
+            carried.append(F.first(f"_first_{i}", ignorenulls=True).over(whole).alias(f"_ahead_{i}"))
     return rows.groupBy(*by, _SLICE).agg(*ends).select(*by, _SLICE, *carried)
 
 

@@ -10,17 +10,14 @@ from stayloom.operators.ordered import next_value
 
 
 def icu_expire_flag() -> Column:
-    """1 when the patient died strictly within the stay, by deathtime or, without one, by dod."""
+    """1 when the patient died strictly within the stay; deathtime counts before dod.
 
-    def within(moment: str) -> Column:
-        died = (F.col(moment) > F.col("intime")) & (F.col(moment) < F.col("outtime"))
-        return F.when(died, F.lit(1)).otherwise(F.lit(0))
-
-    return (
-        F.when(F.col("hospital_expire_flag") == 0, F.lit(0))
-        .when(F.col("deathtime").isNotNull(), within("deathtime"))
-        .otherwise(within("dod"))
-    )
+    A patient flagged as having left the hospital alive did not; an unknown flag leaves it to the times.
+    """
+    died = F.coalesce("deathtime", "dod")
+    left_alive = F.coalesce(F.col("hospital_expire_flag") == 0, F.lit(False))
+    within = (died > F.col("intime")) & (died < F.col("outtime"))
+    return F.coalesce((~left_alive & within).cast("int"), F.lit(0))
 
 
 def los_binary(los_range: float = 3) -> Column:

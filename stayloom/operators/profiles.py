@@ -11,7 +11,7 @@ from stayloom.config import OUTCOME_QUESTIONS
 from stayloom.functions.times import hours_between
 from stayloom.functions.values import file_name, image_path, number_text, quoted
 from stayloom.operators.images import latest_image
-from stayloom.operators.notes import PART, gather_text
+from stayloom.operators.notes import PART, TEXTS_PER_SLICE, gather_text
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.timeseries import last_hours
 from stayloom.session import settle
@@ -119,7 +119,7 @@ def vital_block(series: DataFrame, hours: float = 2, key: str = "stay_id", part_
         key, "charttime", _vital_row(series.columns).alias("line")
     )
     block = gather_text(
-        rows, key, "charttime", [], "line", "", "vital_signs", part_size, cut_points(series, "charttime")
+        rows, key, "charttime", [], "line", "", "vital_signs", part_size, cut_points(series, "charttime", TEXTS_PER_SLICE)
     )
     head = F.when(F.col("part") == 0, F.lit(VITAL_HEAD)).otherwise(F.lit(""))
     return block.withColumn("vital_signs", F.concat(head, F.col("vital_signs")))
@@ -148,7 +148,7 @@ def report_block(notes: DataFrame, stays: DataFrame, key: str = "stay_id", part_
     )
     block = gather_text(
         lines, key, "charttime", ["note_id"], "line", "", "reports", part_size,
-        cut_points(notes, "charttime"),
+        cut_points(notes, "charttime", TEXTS_PER_SLICE),
     )
     head = F.when(F.col("part") == 0, F.lit(REPORT_HEAD)).otherwise(F.lit(""))
     return block.withColumn("reports", F.concat(head, F.col("reports")))

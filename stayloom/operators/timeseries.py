@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayloom.functions.times import hours_between
@@ -32,12 +32,13 @@ def pivot_readings(readings: DataFrame, labels: Sequence[str], skip_null: bool =
     is NULL unless `skip_null`.  One aggregation with map-side combine fills all columns.
     """
     order = [c for c in ("storetime", "itemid") if c in readings.columns]
-    reading = F.struct(*order, "valuenum")
+    value = F.nanvl(F.col("valuenum").cast("double"), F.lit(None).cast("double"))
+    reading = F.struct(*order, value.alias("valuenum"))
 
     def cell(label: str) -> Column:
         wanted = F.col("label") == label
         if skip_null:
-            wanted = wanted & F.col("valuenum").isNotNull()
+            wanted = wanted & value.isNotNull()
         return F.min(F.when(wanted, reading))["valuenum"].alias(label)
 
     return readings.groupBy(*READING).agg(*[cell(v) for v in labels])
@@ -173,20 +174,24 @@ def bin_count(total_length: int, bin_length: int) -> int:
     return total_length // bin_length
 
 
-def time_bins(
-    series: DataFrame, stays: DataFrame, variables: Sequence[str], total_length: int, bin_length: int
-) -> DataFrame:
-    """Mean of each variable per stay and time bin; every stay has every bin."""
-    n_bins = bin_count(total_length, bin_length)
-    means = (
+def bin_means(series: DataFrame, variables: Sequence[str], total_length: int, bin_length: int) -> DataFrame:
+    """Mean of each variable per stay and time bin, for the bins that have rows."""
+    bin_count(total_length, bin_length)
+    return (
         series.where(F.col("frac_charttime") < total_length)
         .withColumn("time_bin", F.floor(F.col("frac_charttime") / bin_length).cast("int"))
         .groupBy("stay_id", "time_bin")
         .agg(*[F.avg(quoted(v)).alias(v) for v in variables])
     )
-    grid = stays.select("stay_id").distinct().withColumn(
-        "time_bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1)))
-    )
+
+
+def time_bins(
+    series: DataFrame, stays: DataFrame, variables: Sequence[str], total_length: int, bin_length: int
+) -> DataFrame:
+    """Mean of each variable per stay and time bin; every stay has every bin."""
+    means = bin_means(series, variables, total_length, bin_length)
+    last = F.lit(bin_count(total_length, bin_length) - 1)
+    grid = stays.select("stay_id").distinct().withColumn("time_bin", F.explode(F.sequence(F.lit(0), last)))
     return grid.join(means, ["stay_id", "time_bin"], "left").select(
         "stay_id", "time_bin", *[quoted(v) for v in variables]
     )
@@ -197,17 +202,78 @@ def flat_names(variables: Sequence[str], n_bins: int) -> list[str]:
     return [f"{v}_{b}" for v in variables for b in range(n_bins)]
 
 
-def flatten_bins(binned: DataFrame, variables: Sequence[str], n_bins: int) -> DataFrame:
+def bin_vectors(
+    means: DataFrame, stays: DataFrame, variables: Sequence[str], n_bins: int, method: str | None = None
+) -> DataFrame:
+    """(stay_id, values): the bins of each stay as one array, all bins of one variable together.
+
+    A stay has at most `n_bins` rows to gather.  With `method` its gaps are filled from its own bins.
+    """
+    row = F.struct(*[quoted(v).alias(f"v{i}") for i, v in enumerate(variables)])
+    entries = F.collect_list(F.struct("time_bin", row.alias("row")))
+    rows = means.groupBy("stay_id").agg(F.map_from_entries(entries).alias("rows"))
+    bins = F.sequence(F.lit(0), F.lit(n_bins - 1))
+    dense = rows.select("stay_id", F.transform(bins, lambda b: F.try_element_at("rows", b)).alias("bins"))
+
+    def column(i: int) -> Column:
+        return F.transform("bins", lambda r: r[f"v{i}"])
+
+    values = F.concat(*[_fill_array(column(i), method) for i in range(len(variables))])
+    # Stays without rows join last: there is nothing to work out for them.
+    nothing = F.array_repeat(F.lit(None).cast("double"), n_bins * len(variables))
+    filled = dense.select("stay_id", values.alias("values"))
+    return stays.select("stay_id").distinct().join(filled, "stay_id", "left").select(
+        "stay_id", F.coalesce("values", nothing).alias("values")
+    )
+
+
+def _fill_array(values: Column, method: str | None) -> Column:
+    """Fill the NULLs of an array from its other elements."""
+    if method is None:
+        return values
+    known = F.filter(values, lambda x: x.isNotNull())
+    if method == "forward":
+        missing = F.lit(None).cast("double")
+        start = F.struct(missing.alias("last"), F.array().cast("array<double>").alias("out"))
+
+        def step(state: Column, x: Column) -> Column:
+            latest = F.coalesce(x, state["last"])
+            return F.struct(latest.alias("last"), F.concat(state["out"], F.array(latest)).alias("out"))
+
+        return F.transform(
+            F.aggregate(values, start, step, lambda state: state["out"]),
+            lambda x: F.coalesce(x, F.get(known, F.lit(0))),
+        )
+    if method == "zero":
+        filler = F.lit(0.0)
+    elif method == "mean":
+        filler = F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known).cast("double"))
+    elif method == "median":
+        ordered, size = F.array_sort(known), F.size(known)
+        low = F.get(ordered, F.floor((size - 1) / 2).cast("int"))
+        filler = (low + F.get(ordered, F.floor(size / 2).cast("int"))) / 2
+    else:
+        raise ValueError(f"unknown imputation method {method!r}")
+    return F.transform(values, lambda x: F.coalesce(x, filler))
+
+
+def spread_vector(vectors: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One column per element of `values`."""
+    return vectors.select("stay_id", *[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def flatten_bins(means: DataFrame, stays: DataFrame, variables: Sequence[str], n_bins: int) -> DataFrame:
     """One row per stay with a column `<variable>_<bin>` for each bin."""
-    cells = [
-        F.max(F.when(F.col("time_bin") == b, quoted(v))).alias(f"{v}_{b}")
-        for v in variables
-        for b in range(n_bins)
-    ]
-    return binned.groupBy("stay_id").agg(*cells)
+    return spread_vector(bin_vectors(means, stays, variables, n_bins), flat_names(variables, n_bins))
 
 
-def fixed_interval_features(
+def element_medians(vectors: DataFrame) -> dict[int, float]:
+    """Exact median of the present values at each place of `values`."""
+    places = vectors.select(F.posexplode("values").alias("place", "value"))
+    return {r["place"]: r["median"] for r in exact_quantiles(places, ["place"], "value", {"median": 0.5}).collect()}
+
+
+def fixed_interval_vectors(
     series: DataFrame,
     stays: DataFrame,
     variables: Sequence[str],
@@ -217,42 +283,37 @@ def fixed_interval_features(
     method: str = "forward",
     median_stays: DataFrame | None = None,
 ) -> DataFrame:
-    """Binned features of every stay: clean, bin, fill within the stay, flatten, then column medians.
+    """Binned features of every stay as (stay_id, values): clean, bin, fill within the stay, medians.
 
     A stay without rows keeps NULLs until the medians fill them.  Medians are learnt from
-    `median_stays` (the training split), or from all stays when it is None.  The forward method
-    fills within the stay; mean and median here are those of the stay's own bins.
+    `median_stays` (the training split), or from all stays when it is None.
     """
     n_bins = bin_count(total_length, bin_length)
-    binned = time_bins(clip_outliers(series, bounds), stays, variables, total_length, bin_length)
-    filled = fill_bins(binned, variables, method)
-    flat = settle(flatten_bins(filled, variables, n_bins))
-    names = flat_names(variables, n_bins)
-    learnt_on = flat if median_stays is None else flat.join(
+    means = bin_means(clip_outliers(series, bounds), variables, total_length, bin_length)
+    vectors = settle(bin_vectors(means, stays, variables, n_bins, method))
+    learnt_on = vectors if median_stays is None else vectors.join(
         median_stays.select("stay_id").distinct(), "stay_id", "left_semi"
     )
-    return fill_with(flat, fill_values(learnt_on, names, "median"))
-
-
-def fill_bins(binned: DataFrame, variables: Sequence[str], method: str = "forward") -> DataFrame:
-    """Fill gaps among the bins of one stay; a stay has a fixed number of bins, so windows stay small."""
-    stay = Window.partitionBy("stay_id")
-    before = stay.orderBy("time_bin").rowsBetween(Window.unboundedPreceding, 0)
-    after = stay.orderBy("time_bin").rowsBetween(0, Window.unboundedFollowing)
-
-    def filled(v: str) -> Column:
-        value = quoted(v)
-        if method == "forward":
-            return F.coalesce(F.last(value, True).over(before), F.first(value, True).over(after))
-        if method == "mean":
-            return F.coalesce(value, F.avg(value).over(stay))
-        if method == "median":
-            return F.coalesce(value, F.percentile(value, F.lit(0.5)).over(stay))
-        if method == "zero":
-            return F.coalesce(value, F.lit(0.0))
-        raise ValueError(f"unknown imputation method {method!r}")
+    medians = element_medians(learnt_on)
+    middle = F.array(*[F.lit(medians.get(i)).cast("double") for i in range(n_bins * len(variables))])
+    return vectors.select("stay_id", F.zip_with("values", middle, lambda x, m: F.coalesce(x, m)).alias("values"))
+
 
-    return binned.select("stay_id", "time_bin", *[filled(v).alias(v) for v in variables])
+def fixed_interval_features(
+    series: DataFrame,
+    stays: DataFrame,
+    variables: Sequence[str],
+    bounds: Mapping[str, Sequence[float]],
+    total_length: int = 24,
+    bin_length: int = 1,
+    method: str = "forward",
+    median_stays: DataFrame | None = None,
+) -> DataFrame:
+    """`fixed_interval_vectors` with one column `<variable>_<bin>` per element."""
+    vectors = fixed_interval_vectors(
+        series, stays, variables, bounds, total_length, bin_length, method, median_stays
+    )
+    return spread_vector(vectors, flat_names(variables, bin_count(total_length, bin_length)))
 
 
 # --- sequences ----------------------------------------------------------------------------------

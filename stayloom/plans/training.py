@@ -89,13 +89,18 @@ def included_tables(training: Training) -> dict[str, DataFrame]:
 
 
 def export_training(
-    spark: SparkSession, master_folder: str, output: str, config: TrainingConfig | None = None
+    spark: SparkSession,
+    master_folder: str,
+    output: str,
+    config: TrainingConfig | None = None,
+    sort: bool = True,
+    ascending: bool = True,
 ) -> DataFrame:
-    """Read a master folder, write the five tables in sorted order, and audit what was written."""
+    """Read a master folder, write the five tables (event tables sorted), and audit what was written."""
     tune(spark)
     training = build_training(require(spark, master_folder, INPUTS), config)
     done = {
-        name: written(df, f"{output}/{name}.parquet", overwrite=True, sort_by=OUTPUTS[name][1])
+        name: written(df, f"{output}/{name}.parquet", True, OUTPUTS[name][1] if sort else [], ascending)
         for name, df in included_tables(training).items()
     }
     audited = {name: (df, OUTPUTS[name][0]) for name, df in done.items()}

@@ -32,9 +32,11 @@ def sorted_by(df: DataFrame, columns: Sequence[str], ascending: bool = True) ->
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def written(df: DataFrame, path: str, overwrite: bool = False, sort_by: Sequence[str] = ()) -> DataFrame:
+def written(
+    df: DataFrame, path: str, overwrite: bool = False, sort_by: Sequence[str] = (), ascending: bool = True
+) -> DataFrame:
     """Write `df` (or keep the finished copy) and read it back: later joins know its real size."""
-    write_table(df, path, overwrite, sort_by)
+    write_table(df, path, overwrite, sort_by, ascending)
     return df.sparkSession.read.parquet(path)
 
 

@@ -80,6 +80,17 @@ def test_hot_stay_is_split_in_the_window_join(hot):
     assert "skew=true" in plan(df)
 
 
+def test_hot_stay_is_split_below_the_pivot(hot):
+    """The pivot groups by stay and time, so the split join costs one more shuffle and is still done."""
+    events, stays = hot
+    readings = windows.in_window(
+        events.selectExpr("stay_id AS hadm_id", "*", "'HR' AS label", "1.0D AS valuenum"), stays, ["stay_id"], "charttime"
+    )
+    df = timeseries.pivot_readings(readings, ["HR"])
+    assert len(df.collect()) == events.select("stay_id", "charttime").distinct().count()
+    assert "skew=true" in plan(df)
+
+
 def test_hot_stay_is_split_in_the_cohort_join(hot):
     events, stays = hot
     df = joins.restrict(events, stays, ["stay_id"])

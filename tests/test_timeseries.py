@@ -66,19 +66,30 @@ def test_bins_have_gaps_and_empty_stays(frame):
         (1, 0, 15.0, None), (1, 1, None, None), (1, 2, 30.0, None),
         (2, 0, None, None), (2, 1, None, None), (2, 2, None, None),
     ]
-    assert rows(ts.fill_bins(got, ["HR", "RR"]), "stay_id", "time_bin", "HR")[:3] == [
-        (1, 0, 15.0), (1, 1, 15.0), (1, 2, 30.0)
+    means = ts.bin_means(series, ["HR", "RR"], 6, 2)
+    assert rows(ts.bin_vectors(means, stays, ["HR", "RR"], 3)) == [
+        (1, [15.0, None, 30.0, None, None, None]), (2, [None] * 6)
     ]
-    flat = ts.flatten_bins(got, ["HR", "RR"], 3)
+    assert rows(ts.bin_vectors(means, stays, ["HR"], 3, "forward")) == [(1, [15.0, 15.0, 30.0]), (2, [None] * 3)]
+    flat = ts.flatten_bins(means, stays, ["HR", "RR"], 3)
     assert flat.columns == ["stay_id", "HR_0", "HR_1", "HR_2", "RR_0", "RR_1", "RR_2"]
     with pytest.raises(ValueError):
         ts.time_bins(series, stays, ["HR"], 24, 5)
 
 
-@pytest.mark.parametrize("method, want", [("forward", 30.0), ("mean", 20.0), ("median", 20.0), ("zero", 0.0)])
-def test_fill_bins_methods(frame, method, want):
-    binned = frame("stay_id long, time_bin int, HR double", [(1, 0, 10.0), (1, 1, 30.0), (1, 2, None)])
-    assert (2, want) in rows(ts.fill_bins(binned, ["HR"], method), "time_bin", "HR")
+@pytest.mark.parametrize(
+    "method, want",
+    [
+        ("forward", [10.0, 10.0, 30.0, 31.0, 31.0]), ("mean", [71 / 3, 10.0, 30.0, 31.0, 71 / 3]),
+        ("median", [30.0, 10.0, 30.0, 31.0, 30.0]), ("zero", [0.0, 10.0, 30.0, 31.0, 0.0]),
+    ],
+)
+def test_fill_within_a_stay(frame, method, want):
+    means = frame("stay_id long, time_bin int, HR double", [(1, 1, 10.0), (1, 2, 30.0), (1, 3, 31.0), (1, 4, None)])
+    got = ts.bin_vectors(means, means.select("stay_id"), ["HR"], 5, method).first()["values"]
+    assert got == pytest.approx(want)
+    with pytest.raises(ValueError):
+        ts.bin_vectors(means, means.select("stay_id"), ["HR"], 5, "nearest")
 
 
 def test_fixed_interval_features_fill_with_train_medians(frame):
