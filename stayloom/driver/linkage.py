@@ -8,7 +8,7 @@ from stayloom.config import FINDINGS
 from stayloom.driver.registry import query
 from stayloom.driver.views import TABLES, Views
 from stayloom.functions.times import coerce_datetimes, packed_datetime
-from stayloom.functions.values import image_path, prefixed
+from stayloom.functions.values import file_name, image_path, prefixed, with_extension
 from stayloom.operators import images, joins, linkage
 from stayloom.operators.linkage import STAY
 from stayloom.sources.folders import scan_folder
@@ -297,8 +297,6 @@ def _(v: Views):
     ["cxr_metadata"],
 )
 def _(v: Views):
-    from stayloom.functions.values import file_name, with_extension
-
     dcm = image_path("subject_id", "study_id", "dicom_id", ".dcm")
     path = with_extension(dcm, ".jpg")
     return v["cxr_metadata"].select("dicom_id", path.alias("path"), file_name(path).alias("file"))
