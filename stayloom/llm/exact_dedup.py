@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayloom.llm.frames import packed, ready, settle, unpacked
+from stayloom.llm.frames import packed, ready, settle, survivors, unpacked
 
 CAPACITY = 1 << 14
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -130,31 +130,15 @@ def exact_dedup(
 
 
 def kept_documents(docs: DataFrame, text: str = "text", id: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """One document of each group of equal texts, with all columns.
-
-    Dropped rows are known by id and text; rows that agree in both are one document.
-    """
+    """One document of each group of equal texts, with all columns."""
     least = F.lit(-(2**63))
     done = exact_dedup(docs.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), capacity=capacity)
-    dropped = done.where("NOT kept AND NOT (doc_id <=> keep_id)").select(
-        F.coalesce("doc_id", least).alias("out_id"), F.unhex("text_sha256").alias("out_sha")
-    )
-    twice = settle(
-        done.where("NOT kept AND doc_id <=> keep_id").select(
-            F.coalesce("doc_id", least).alias("out_id"), F.unhex("text_sha256").alias("out_sha")
-        ).distinct()
-    )
-    keyed = docs.withColumns(
-        {
-            "out_id": F.coalesce(F.col(f"`{id}`"), least),
-            "out_sha": F.unhex(F.sha2(normalised(F.coalesce(F.col(f"`{text}`"), F.lit(""))), 256)),
-        }
-    )
-    left = keyed.join(dropped, ["out_id", "out_sha"], "left_anti")
-    if not twice.isEmpty():
-        again = left.join(twice, ["out_id", "out_sha"], "left_semi").dropDuplicates(["out_id", "out_sha"])
-        left = left.join(twice, ["out_id", "out_sha"], "left_anti").unionByName(again)
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    decided = done.select(F.coalesce("doc_id", least).alias("out_id"), F.unhex("text_sha256").alias("out_sha"), "kept")
+    keys = {
+        "out_id": F.coalesce(F.col(f"`{id}`"), least),
+        "out_sha": F.unhex(F.sha2(normalised(F.coalesce(F.col(f"`{text}`"), F.lit(""))), 256)),
+    }
+    return survivors(docs, keys, decided)
 
 
 SQL = """

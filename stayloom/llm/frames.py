@@ -46,3 +46,20 @@ def unpacked(df: DataFrame, columns: Sequence[str], replaced: dict[str, Column])
     """`columns` in order, each from `rest` unless replaced; further replacements follow."""
     kept = [replaced.get(c, F.col(f"rest.`{c}`")).alias(c) for c in columns]
     return df.select(*kept, *[v.alias(k) for k, v in replaced.items() if k not in columns])
+
+
+def survivors(docs: DataFrame, keys: dict[str, Column], decided: DataFrame) -> DataFrame:
+    """The rows of `docs` that `decided` keeps; it has the columns `keys` and a boolean `kept`.
+
+    Of rows that agree in all keys, of which some are kept and some not, one stays.
+    """
+    names = list(keys)
+    lost = decided.where("NOT kept").select(*names)
+    won = decided.where("kept").select(*names)
+    gone = lost.join(won, names, "left_anti")
+    twice = settle(lost.join(won, names, "left_semi").distinct())
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()])
+    left = keyed.join(gone, names, "left_anti")
+    if not twice.isEmpty():
+        left = left.join(twice, names, "left_anti").unionByName(left.join(twice, names, "left_semi").dropDuplicates(names))
+    return left.select("row.*")
