@@ -32,10 +32,13 @@ from stayloom.llm.samples import fitted, labelled, share
 
 ROWS = 8192
 TERMS = 4096
-CHI_SQUARED = 20.0
-NEAREST = 15
+CHI_SQUARED = 35.0
+SUPPORT = 5  # different texts a term must stand in
+NEAREST = 9
 BLOCK = 64
 SOFT = 0.1  # added to distances
+SHARP = 4  # power of the cosine in a vote
+PRIOR = 0.3  # weight of the rate without neighbours in a vote
 THRESHOLD = 0.5
 
 _LETTER = np.zeros(256, bool)
@@ -70,17 +73,37 @@ class Examples:
     labels: np.ndarray | None = None
 
 
+def families(texts: pa.ChunkedArray) -> np.ndarray:
+    """For each text the least hash of its five-word shingles: copies and most near copies agree in it."""
+    out = [np.zeros(0, np.uint64)]
+    for _, data, offsets in arrays.blocks(texts):
+        start, end, bounds = arrays.words(data, offsets)
+        hashes, least = arrays.word_hashes(data, start, end), np.full(len(offsets) - 1, np.iinfo(np.uint64).max)
+        row = arrays.rows_of(bounds)
+        inner = np.flatnonzero(row[4:] == row[:-4]) if len(row) > 4 else np.zeros(0, np.int64)
+        np.minimum.at(least, row[inner], arrays.windows(hashes, 5)[inner])
+        out.append(least)
+    return np.concatenate(out)
+
+
 def choose(ids: np.ndarray, texts: pa.ChunkedArray, labels: np.ndarray) -> Examples:
-    pairs = [np.unique(np.stack([h, (r + first).astype(np.uint64)]), axis=1) for first, _, h, r in terms(texts)]
+    """Terms that go with the label. Copies of one text count once, else all its words would seem to."""
+    kind = np.unique(families(texts), return_inverse=True)[1]
+    pairs = [np.stack([h, (r + first).astype(np.uint64)]) for first, _, h, r in terms(texts)]
     pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.uint64)
     words, back = np.unique(pairs[0], return_inverse=True)
-    toxic = np.bincount(back, weights=labels[pairs[1].astype(np.int64)], minlength=len(words))
-    some, n, positive = np.bincount(back, minlength=len(words)), len(labels), labels.sum()
+    row = pairs[1].astype(np.int64)
+    family = kind[row] * 2 + labels[row] if len(row) else row
+    once = np.unique(back * (2 * len(kind) + 2) + family)
+    back, toxic_one = once // (2 * len(kind) + 2), once % 2
+    toxic = np.bincount(back, weights=toxic_one, minlength=len(words))
+    every = np.unique(kind * 2 + labels) if len(kind) else kind
+    some, n, positive = np.bincount(back, minlength=len(words)), len(every), (every % 2).sum()
     expected = some * positive / max(1, n)
     spread = expected * (1 - positive / max(1, n)) * (1 - some / max(1, n))
     strength = np.where(spread > 0, (np.abs(toxic - expected) - 0.5) ** 2 / np.maximum(spread, 1e-9), 0)
     chosen = np.argsort(-strength, kind="stable")[:TERMS]
-    vocabulary = np.sort(words[chosen[(strength[chosen] >= CHI_SQUARED) & (some[chosen] >= 3)]])
+    vocabulary = np.sort(words[chosen[(strength[chosen] >= CHI_SQUARED) & (some[chosen] >= SUPPORT)]])
     made = Examples(vocabulary, [(np.zeros(0, np.int64),) * 2 for _ in ids], ids, labels)
     for first, _, hashes, row in terms(texts):
         at, term, many = known(hashes, row, vocabulary)
@@ -139,8 +162,8 @@ class Index:
         best, cosine = self.nearest(term, weight, without)
         if not len(best):
             return float(self.base), []
-        pull = 1 / (np.maximum(0, 1 - cosine) + SOFT)
-        share = float((pull * self.labels[best]).sum() + self.base) / float(pull.sum() + 1)
+        pull = cosine**SHARP / (np.maximum(0, 1 - cosine) + SOFT)
+        share = float((pull * self.labels[best]).sum() + PRIOR * self.base) / float(pull.sum() + PRIOR)
         return share, list(zip(self.ids[best].tolist(), np.minimum(1, cosine).tolist(), self.labels[best].tolist()))
 
     def probability(self, vote: float) -> float:
