@@ -185,7 +185,8 @@ def each_window(unit: Unit) -> Callable:
 def counted(unit: Unit, listed: DataFrame) -> DataFrame:
     """(rid, lo, hi): the repeated windows of different stretches, by counting each window in Spark."""
     rows = settle(listed.mapInArrow(each_window(unit), "s1 bigint, s2 bigint, rid bigint, place int"))
-    again = rows.groupBy("s1", "s2").count().where("count > 1").select("s1", "s2")
+    # Written, so that both sides of the join are plain exchanges, whose large partitions Spark can split.
+    again = settle(rows.groupBy("s1", "s2").count().where("count > 1").select("s1", "s2"))
     return rows.join(again, ["s1", "s2"], "left_semi").select("rid", F.col("place").alias("lo"), F.col("place").alias("hi"))
 
 
@@ -213,7 +214,8 @@ def remove_repeats(
             anchors(unit), "in_id bigint, in_hash bigint, at int, anchor bigint"
         )
     )
-    repeated = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that both sides of the join are plain exchanges, whose large partitions Spark can split.
+    repeated = settle(found.groupBy("anchor").count().where("count > 1").select("anchor"))
     marks = (
         found.join(repeated, "anchor", "left_semi")
         .groupBy("in_id", "in_hash")
