@@ -197,8 +197,11 @@ def remove_repeats(
     text: str = "text",
     id: str = "doc_id",
     with_text: bool = True,
+    counted_as: str = "n_units",
 ) -> DataFrame:
-    """`docs` (its text cut, if `with_text`) with units, removed, spans, kept_sha256.
+    """`docs` (its text cut, if `with_text`) with the number of units, n_removed, n_spans, kept_sha256.
+
+    A column of the same name as an added one is replaced.
 
     `resolve(unit, stretches, fetch)` gets the different stretches (rid, anchor, rivals, n, row, lo,
     size, at) of anchors with several of them, and `fetch`, which adds the texts they stand in; it
@@ -272,7 +275,8 @@ def remove_repeats(
         cut(unit, with_text),
         f"rest {rest}, units bigint, removed bigint, spans bigint, kept_sha256 string" + ", kept binary" * with_text,
     )
-    added = {k: F.col(k) for k in ("units", "removed", "spans", "kept_sha256")}
+    added = {counted_as: F.col("units"), "n_removed": F.col("removed"), "n_spans": F.col("spans")}
+    added["kept_sha256"] = F.col("kept_sha256")
     if with_text:
         added[text] = F.col("kept") if not unit.words else F.col("kept").cast("string")
     columns = [c for c in docs.columns if with_text or c != text]

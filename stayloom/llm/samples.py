@@ -41,12 +41,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, row
 def fitted(sample: DataFrame, fit: Callable) -> object:
     """What `fit(ids, texts, labels)` makes of the sample, in one task; the model comes to the driver."""
 
+    def made(table: pa.Table) -> object:
+        ids, labels = (table.column(c).to_numpy() for c in ("in_id", "label"))
+        return fit(ids, table.column("in_text"), labels)
+
     def run(batches):
         rows = list(batches)
-        table = pa.Table.from_batches(rows) if rows else _SAMPLE.empty_table()
-        ids, labels = (table.column(c).to_numpy() for c in ("in_id", "label"))
-        model = pickle.dumps(fit(ids, table.column("in_text"), labels))
-        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+        if rows:
+            model = pickle.dumps(made(pa.Table.from_batches(rows)))
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     one = sample.select("in_id", "in_text", "label").repartition(1)
-    return pickle.loads(one.mapInArrow(run, "model binary").first()["model"])
+    found = one.mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else made(_SAMPLE.empty_table())

@@ -26,8 +26,8 @@ def substring_dedup(
     space where any were removed, else the text unchanged.  Without `with_text` the text column goes."""
     unit = Unit(window, min(GRAM, window), True)
     return remove_repeats(
-        docs, unit, lambda unit, kinds, fetch: counted(unit, fetch(kinds)), text, id, with_text
-    ).withColumnsRenamed({"units": "n_words", "removed": "n_removed", "spans": "n_spans"})
+        docs, unit, lambda unit, kinds, fetch: counted(unit, fetch(kinds)), text, id, with_text, "n_words"
+    )
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -149,9 +149,7 @@ def suffix_dedup(
         )
         return sorted_.unionByName(counted(unit, fetch(kinds.where(F.col("rivals") > group))))
 
-    return remove_repeats(docs, unit, resolve, text, id, with_text).withColumnsRenamed(
-        {"units": "n_bytes", "removed": "n_removed", "spans": "n_spans"}
-    )
+    return remove_repeats(docs, unit, resolve, text, id, with_text, "n_bytes")
 
 
 def digest(docs: DataFrame) -> DataFrame:
