@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -29,9 +30,12 @@ from pyspark.sql import functions as F
 from stayloom.llm import arrays
 from stayloom.llm.frames import packed, ready, unpacked
 
-WORDS = 300_000  # words a worker's table holds before it starts anew
+WORDS = 500_000  # words a worker's table holds before it starts anew
 IDS = 4_000_000  # and ids
 
+#: Fixed value: how a byte-level vocabulary divides text.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The tokenizer file, a few megabytes whatever the corpus, for all executors."""
@@ -53,6 +57,30 @@ def other_space(data: np.ndarray) -> np.ndarray:
     return at[hit]
 
 
+def byte_of_sign() -> dict[str, int]:
+    """Byte-level vocabularies write a byte as its own Latin-1 sign, or one from 256 on if that doesn't print."""
+    plain = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+
+
+def ranked(spec: dict) -> Callable[[str], list[int]] | None:
+    """The ids of a word by merge rank, where the file is a plain byte-level one whose merges rank as their
+    results' ids do; tiktoken then gives the library's own ids several times as fast."""
+    import tiktoken
+
+    model, before = spec["model"], spec["pre_tokenizer"]
+    plain = spec["normalizer"] is None and before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+    if not plain or any(model.get(k) for k in ("dropout", "unk_token", "end_of_word_suffix", "ignore_merges", "byte_fallback")):
+        return None
+    added = {t["content"] for t in spec["added_tokens"]}
+    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if merged != sorted(merged):
+        return None
+    sign = byte_of_sign()
+    ranks = {bytes(sign[c] for c in t): k for t, k in model["vocab"].items() if t not in added}
+    return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class Words:
     """The distinct-word table of one worker."""
 
@@ -65,13 +93,15 @@ class Words:
         self.tokenizer.no_padding()
         self.byte_level = spec["pre_tokenizer"]["type"] == "ByteLevel"
         self.spaced = spec.get("decoder") is None  # pieces are then joined by a space
+        self.ranked = ranked(spec)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.pieces = [self.tokenizer.id_to_token(k) for k in range(self.tokenizer.get_vocab_size())] if self.spaced else []
         self.forget()
 
     def forget(self) -> None:
         self.slots: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start: list[int] = []
+        self.ids = np.zeros(0, np.uint32)
+        self.begin = np.zeros(1, np.int64)
         self.texts: list[bytes] = []
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,38 +126,47 @@ class Words:
         more[tail + 1] = 1
         return start, end, bounds + np.cumsum(more)
 
+    def listed(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word."""
+        if self.ranked is None:
+            return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found = list(map(self.ranked, words))
+        if any(t in word for t in self.added for word in ["".join(words)]):
+            for k, word in enumerate(words):
+                if any(t in word for t in self.added):
+                    found[k] = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return found
+
     def learn(self, keys: list[int], words: list[str]) -> None:
-        for key, found in zip(keys, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            ids = found.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-            self.slots[key] = len(self.start)
-            self.start.append(self.used)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            if self.spaced:
-                self.texts.append(" ".join(map(self.tokenizer.id_to_token, ids)).encode())
+        found = self.listed(words)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        self.slots.update(zip(keys, range(len(self.slots), len(self.slots) + len(keys))))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(size)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
+        if self.spaced:
+            self.texts += [" ".join(map(self.pieces.__getitem__, ids)).encode() for ids in found]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the block, the rows' bounds in them, and the word slots with the rows' bounds in these."""
-        if len(self.slots) > WORDS or self.used > IDS:
+        if len(self.slots) > WORDS or len(self.ids) > IDS:
             self.forget()
         start, end, bounds = self.units(data, offsets)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64), bounds
         keys, first, back = np.unique(arrays.word_hashes(data, start, end), return_index=True, return_inverse=True)
         listed = keys.tolist()
-        new = [k for k, key in enumerate(listed) if key not in self.slots]
-        if new:
+        slots = np.fromiter(map(self.slots.get, listed, repeat(-1)), np.int64, len(listed))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
             at, to = start[first[new]].tolist(), end[first[new]].tolist()
             block = data.tobytes()
-            self.learn([listed[k] for k in new], [block[a:b].decode() for a, b in zip(at, to)])
-        slots = np.fromiter(map(self.slots.__getitem__, listed), np.int64, len(listed))
-        begin = np.array([*self.start, self.used], np.int64)
-        size = np.diff(begin)[slots][back]
+            slots[new] = len(self.slots) + np.arange(len(new))
+            self.learn(keys[new].tolist(), [block[a:b].decode() for a, b in zip(at, to)])
+        slots = slots[back]
+        size = np.diff(self.begin)[slots]
         before = np.concatenate([[0], np.cumsum(size)])
-        place = np.arange(before[-1]) + np.repeat(begin[slots][back] - before[:-1], size)
-        return self.ids[place], before[bounds], slots[back], bounds
+        place = np.arange(before[-1]) + np.repeat(self.begin[slots] - before[:-1], size)
+        return self.ids[place], before[bounds], slots, bounds
 
 
 _tables: dict[int, Words] = {}
