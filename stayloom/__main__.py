@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stayloom.config import AGE_CUTOFFS, TABULAR_VARIABLES, VITAL_SIGNS, TrainingConfig
 from stayloom.operators import features, metrics, profiles
 from stayloom.plans import experiment, master, training
-from stayloom.session import build_session
+from stayloom.session import build_session, intermediate
 from stayloom.sources.folders import require
 from stayloom.sources.sinks import read_matrix, read_records, write_csv, write_matrix, write_records
 
@@ -197,7 +197,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(), args)
+    spark = build_session()
+    with intermediate(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

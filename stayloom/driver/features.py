@@ -107,7 +107,7 @@ def _(v: Views):
 
 # --- fusion -------------------------------------------------------------------------------------
 
-_SERIES = OBSERVED[:2]
+_SERIES = OBSERVED
 _SIZE = 64
 FUSED = f"""
     SELECT b.stay_id, CAST(b.age AS DOUBLE) AS age, CAST(b.los AS DOUBLE) AS los,
@@ -182,29 +182,36 @@ def _(v: Views):
 
 
 def labelled(v: Views):
-    """Labelled documents with their length, toxicity, language and vector-free features."""
+    """Labelled documents with their length, language and vector-free features; no label is a feature."""
     languages = ["de", "en", "es", "fr"]
     df = v["labels"].join(v["documents"].select("doc_id", "lang", "n_chars", "source"), "doc_id")
-    columns = [
-        F.log1p("n_chars"), F.col("toxic").cast("double"),
-        *[(F.col("lang") == name).cast("double") for name in languages],
-        F.length("source").cast("double"),
-    ]
+    columns = [F.log1p("n_chars"), *[(F.col("lang") == name).cast("double") for name in languages], F.length("source").cast("double")]
     return df.select(
         F.col("doc_id").alias("stay_id"), F.col("quality").alias("y_true"), F.array(*columns).alias("features")
     )
 
 
-@query("lr_predict")
+#: What SQL can know of learnt scores: the rows of the test split, their labels, and the range of a probability.
+_SCORED = f"""SELECT stay_id, y_true, TRUE AS probable
+    FROM (SELECT doc_id AS stay_id, CAST(quality AS INTEGER) AS y_true FROM labels JOIN documents USING (doc_id))
+    WHERE ({SPLIT}) = 'test'"""
+
+
+def _scored(predictions):
+    return predictions.select("stay_id", "y_true", F.col("y_prob").between(0, 1).alias("probable"))
+
+
+@query("lr_predict", _SCORED)
 def _(v: Views):
     """Cross-validated logistic regression scores of the test split."""
     rows = labelled(v)
-    search = models.logistic_search(rows.count(), strengths=[0.1, 1.0], iterations=[100])
-    return models.fit_predict(rows, search=search)[0]
+    training = rows.where(features.split_of("stay_id") != "test").count()
+    search = models.logistic_search(training, strengths=[0.1, 1.0], iterations=[100])
+    return _scored(models.fit_predict(rows, search=search)[0])
 
 
-@query("gbt_predict")
+@query("gbt_predict", _SCORED)
 def _(v: Views):
     """Cross-validated boosted-tree scores of the test split."""
     search = models.tree_search(depths=[5], steps=[0.1], leaf_rows=[20], counts=[10, 20])
-    return models.fit_predict(labelled(v), search=search)[0]
+    return _scored(models.fit_predict(labelled(v), search=search)[0])

@@ -175,16 +175,18 @@ def _(v: Views):
 
 @query(
     "dictionary_join",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, p_name AS label, p_brand AS category
-       FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 40) ON l_partkey = p_partkey""",
+    """SELECT l_orderkey, l_linenumber, code, l_suppkey, l_shipdate, p_name AS label, p_brand AS category
+       FROM (SELECT *, CASE WHEN l_suppkey % 5 = 0 THEN -l_partkey ELSE l_partkey END AS code FROM lineitem)
+       LEFT JOIN part ON code = p_partkey""",
 )
 def _(v: Views):
     """Coded events with their dictionary entries; some codes have none."""
-    events = v["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    dictionary = v["part"].where("p_size < 40").select(
+    code = F.when(F.col("l_suppkey") % 5 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    events = v["lineitem"].select("l_orderkey", "l_linenumber", code.alias("code"), "l_suppkey", "l_shipdate")
+    dictionary = v["part"].select(
         "p_partkey", F.col("p_name").alias("label"), F.col("p_brand").alias("category")
     )
-    return joins.look_up(events, dictionary, {"l_partkey": "p_partkey"}, ["label", "category"])
+    return joins.look_up(events, dictionary, {"code": "p_partkey"}, ["label", "category"])
 
 
 @query(

@@ -224,12 +224,12 @@ PREPARED = f"""
     FROM (SELECT stay_id, charttime, frac_charttime, {columns(OBSERVED, _filled("stay_id", "charttime"))},
                  {columns(OBSERVED, lambda c: f"CAST({q(c)} IS NOT NULL AS INTEGER) AS {q('mask_' + c)}")}
           FROM ({SHORT})) f,
-         (SELECT {columns(OBSERVED, lambda c: f"median({q(c)}) AS {q(c)}")} FROM ({SHORT})) m"""
+         (SELECT {columns(OBSERVED, lambda c: f"median({q(c)}) AS {q(c)}")} FROM ({SHORT}) WHERE {IS_TRAIN}) m"""
 
 
 def prepared(v: Views):
     medians = timeseries.fill_values(
-        clip_outliers(v.written_series, BOUNDS).where(F.col("frac_charttime") < TOTAL), OBSERVED, "median"
+        clip_outliers(train(v.written_series), BOUNDS).where(F.col("frac_charttime") < TOTAL), OBSERVED, "median"
     )
     return timeseries.preprocess(v.written_series, OBSERVED, TOTAL, BOUNDS, medians)
 
@@ -255,13 +255,15 @@ def _(v: Views):
     return timeseries.pad_length(v.written_series)
 
 
-LENGTH = 6
-_PAIR = OBSERVED[:2]
+def _slots(source: str) -> str:
+    length = f"""(SELECT CAST(floor(quantile_cont(n, 0.999)) AS BIGINT)
+                  FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM ({source}) GROUP BY stay_id))"""
+    return f"""(SELECT stay_id, CAST(slot AS INTEGER) AS slot
+                FROM (SELECT DISTINCT stay_id FROM ({source})), (SELECT unnest(range({length})) AS slot))"""
 
 
-def _slots(source: str) -> str:
-    return f"""(SELECT stay_id, CAST(unnest(range({LENGTH})) AS INTEGER) AS slot
-                FROM (SELECT DISTINCT stay_id FROM ({source})))"""
+def learnt_length(series) -> int:
+    return timeseries.pad_length(series).first()["pad_length"]
 
 
 def _numbered(source: str) -> str:
@@ -270,17 +272,17 @@ def _numbered(source: str) -> str:
 
 @query(
     "pad_mask",
-    f"""SELECT g.stay_id, g.slot, {columns(_PAIR, lambda c: f"coalesce(r.{q(c)}, 0) AS {q(c)}")},
+    f"""SELECT g.stay_id, g.slot, {columns(OBSERVED, lambda c: f"coalesce(r.{q(c)}, 0) AS {q(c)}")},
                CAST(r.stay_id IS NOT NULL AS INTEGER) AS input_mask
         FROM {_slots("SELECT * FROM series")} g
         LEFT JOIN {_numbered("SELECT * FROM series")} r ON g.stay_id = r.stay_id AND g.slot = r.slot""",
     ["series"],
 )
 def _(v: Views):
-    padded = timeseries.padded_sequences(v.written_series, _PAIR, LENGTH)
-    slots = F.posexplode(F.arrays_zip(*[F.col(f"`{c}`") for c in (*_PAIR, "input_mask")])).alias("slot", "row")
+    padded = timeseries.padded_sequences(v.written_series, OBSERVED, learnt_length(v.written_series))
+    slots = F.posexplode(F.arrays_zip(*[F.col(f"`{c}`") for c in (*OBSERVED, "input_mask")])).alias("slot", "row")
     return padded.select("stay_id", slots).select(
-        "stay_id", "slot", *[F.col("row")[c].alias(c) for c in (*_PAIR, "input_mask")]
+        "stay_id", "slot", *[F.col("row")[c].alias(c) for c in (*OBSERVED, "input_mask")]
     )
 
 
@@ -305,7 +307,7 @@ def _tensor_sql() -> str:
 def _(v: Views):
     rows = settle(prepared(v))
     scaler = features.fit_scaler(train(rows), OBSERVED)
-    tensor = timeseries.sequence_tensor(rows, OBSERVED, scaler, LENGTH)
+    tensor = timeseries.sequence_tensor(rows, OBSERVED, scaler, learnt_length(rows))
     return tensor.select("stay_id", F.posexplode("tensor").alias("slot", "row")).select(
         "stay_id", "slot", *[F.round(F.get("row", F.lit(i)), 6).alias(f"f{i}") for i in range(_WIDTH)]
     )

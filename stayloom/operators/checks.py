@@ -9,21 +9,19 @@ from stayloom.functions.values import quoted
 from stayloom.operators.features import md5_number
 
 
-def row_hash(df: DataFrame) -> Column:
-    """64-bit hash of a row, columns taken in name order."""
-    return F.xxhash64(*[quoted(c) for c in sorted(df.columns)])
+def row_number(df: DataFrame) -> Column:
+    """A row's 60-bit number: md5 of its columns as texts with their lengths, in name order.
 
+    Other engines can compute the same, so tables can be compared across engines.
+    """
+    texts = [quoted(c).cast("string") for c in sorted(df.columns)]
+    sized = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return md5_number(F.concat(*sized), digits=15)
 
-def row_number_md5(df: DataFrame) -> Column:
-    """A row's number from the md5 of its columns as text in name order, for use outside Spark."""
-    texts = [F.coalesce(quoted(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
-    return md5_number(F.concat_ws("|", *texts), digits=15)
 
-
-def fingerprint(df: DataFrame, number: Column | None = None) -> DataFrame:
+def fingerprint(df: DataFrame) -> DataFrame:
     """(n_rows, hash_sum): equal for equal multisets of rows, whatever their order."""
-    number = row_hash(df) if number is None else number
-    return df.select(number.cast("decimal(20,0)").alias("_h")).agg(
+    return df.select(row_number(df).cast("decimal(20,0)").alias("_h")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("_h").cast("string").alias("hash_sum")
     )
 

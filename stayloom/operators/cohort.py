@@ -54,9 +54,14 @@ def cohort_counts(windows: DataFrame, included: DataFrame) -> DataFrame:
 
 
 def fan_out_audit(tables: dict[str, tuple[DataFrame, str]], n_stays: int) -> DataFrame:
-    """Rows, distinct keys and rows per stay of each table; more rows than keys points at a fan-out."""
+    """Rows, distinct keys and rows per stay of each table; more rows than keys points at a fan-out.
+
+    Further parts of a note whose details are split are no fan-out and not counted.
+    """
     audits = []
     for name, (df, key) in tables.items():
+        if "detail_part" in df.columns:
+            df = df.where("detail_part = 0")
         audits.append(
             df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys")).select(
                 F.lit(name).alias("table_name"),

@@ -81,7 +81,7 @@ SYSTEM_TEXTS = {
 
 # ----------------------------------------------------------------------------------------------------
 
-_BLOCK = 1_000_000  # more pieces than one block can have
+_BLOCKS = 4  # demographics, vital signs, images, reports
 
 RECORD_SCHEMA = (
     "id bigint, part int, last boolean, context string, image string, "
@@ -160,8 +160,9 @@ def patient_profiles(
 ) -> DataFrame:
     """(key, part, last, context): the blocks a stay has, one after the other.
 
-    A stay whose blocks all fit one part is one row.  A longer one is a row per piece of its
-    blocks: joined in `part` order without separator they give the profile, `last` marks the end.
+    Parts count 0, 1, … for every stay; a new one begins with each piece beyond a block's first, so
+    a stay whose blocks are of one piece each has part 0 only.  Joined in `part` order without
+    separator they give the profile, `last` marks the end.
     """
     if "detail_part" in radiology.columns:
         radiology = radiology.where("detail_part = 0")
@@ -176,27 +177,23 @@ def patient_profiles(
         .unionByName(block(image_block(images, key), 2, "images"))
         .unionByName(block(report_block(radiology, tabular, key, part_size), 3, "reports"))
     )
-    place = F.col("block") * _BLOCK + F.col("piece")
-    long_ones = (
-        blocks.groupBy(key)
-        .agg(F.max("piece").alias("_pieces"), F.max(place).alias("_end"))
-        .where(F.col("_pieces") > 0)
-        .select(key, "_end")
-    )
+    # A part begins with each further piece of a block: parts count the pieces beyond each block's first.
+    further = [F.max(F.when(F.col("block") == b, F.col("piece"))).alias(f"_of_{b}") for b in range(_BLOCKS)]
+    more = blocks.groupBy(key).agg(*further)
+    known = [F.coalesce(f"_of_{b}", F.lit(0)) for b in range(_BLOCKS)]
+    before = sum((F.when(F.col("block") > b, known[b]).otherwise(F.lit(0)) for b in range(_BLOCKS)), F.lit(0))
     # Blocks are joined by a line break, the pieces of one block by nothing.
     opens = (F.col("piece") == 0) & (F.col("block") > 0)
     text = F.concat(F.when(opens, F.lit("\n")).otherwise(F.lit("")), F.col("text"))
-    part = F.when(F.col("_end").isNull(), F.lit(0)).otherwise(place)
-    member = F.struct("block", "piece", text.alias("text"))
     joined = (
-        blocks.join(long_ones, key, "left")
-        .groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(member)).alias("rows"), F.max("_end").alias("_end"))
+        blocks.join(more, key)
+        .groupBy(key, (before + F.col("piece")).cast("int").alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct("block", "piece", text.alias("text")))).alias("rows"), F.max(sum(known, F.lit(0))).alias("_end"))
     )
     return joined.select(
         key,
         "part",
-        (F.col("part") == F.coalesce("_end", F.lit(0))).alias("last"),
+        (F.col("part") == F.col("_end")).alias("last"),
         F.array_join(F.transform("rows", lambda r: r["text"]), "").alias("context"),
     )
 

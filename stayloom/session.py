@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +22,7 @@ SETTINGS = {
 }
 
 _local_folder: str | None = None
+_settled: list[str] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -33,14 +38,21 @@ def build_session(app: str = "stayloom") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only in a local session without it."""
+    """The folder named by spark.checkpoint.dir.
+
+    A session of one process (master local or local[n]) that names none gets a folder of its own,
+    which goes when the process ends; every other session must name one that all executors share.
+    """
     global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    _local_folder = _local_folder or tempfile.mkdtemp(prefix="stayloom-")
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="stayloom-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
@@ -52,5 +64,19 @@ def settle(df: DataFrame) -> DataFrame:
     table when it plans the joins that follow, and reads only the columns they need.
     """
     path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    _settled.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside when the work that needed them has ended, well or not."""
+    before = len(_settled)
+    try:
+        yield
+    finally:
+        for path in _settled[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _settled[before:]

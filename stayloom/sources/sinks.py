@@ -44,6 +44,7 @@ def write_by_stay(df: DataFrame, path: str, groups: int = 256) -> None:
     """Write a stay table in `groups` folders by stay; writing some stays' groups anew replaces only those."""
     (
         df.withColumn("stay_group", F.pmod("stay_id", F.lit(groups)))
+        .repartition("stay_group")  # else every task writes a file into each folder
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("stay_group")

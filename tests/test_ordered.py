@@ -105,3 +105,37 @@ def test_exact_quantiles(skewed):
 
 def test_quantile_of_nothing_is_empty(frame):
     assert ordered.exact_quantiles(frame("k string, t double", []), ["k"], "t", {"m": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_slices_change_nothing_also_with_nulls(spark, frame, seed):
+    """Two rows per slice and one slice of all rows: the same, with NULL keys and order values."""
+    rng = random.Random(seed)
+    some = lambda x: None if rng.random() < 0.25 else x
+    data = [(some(rng.choice("ab")), some(float(rng.randrange(12))), some(rng.randrange(5)), i) for i in range(60)]
+    data.append(("a", float("nan"), 1, 60))
+    df = frame("k string, t double, n long, id long", data)
+    once = frame("k string, t double, n long", list({(k, t): (k, t, n) for k, t, n, _ in data}.values()))
+    ways = {
+        "sum": lambda cuts: ordered.running_sum(df, ["k"], "t", ["n"], False, cuts),
+        "falling": lambda cuts: ordered.running_sum(df, ["k"], "t", ["n"], True, cuts),
+        "positions": lambda cuts: ordered.positions(df, "t", ["k"], ["n", "id"], cuts=cuts),
+        "next": lambda cuts: ordered.next_value(df, ["k"], "t", "next", cuts),
+        "fill": lambda cuts: ordered.fill_gaps(once, ["k"], "t", ["n"], True, cuts),
+    }
+    many = ordered.cut_points(df, "t")
+    assert len(many) > 4
+    for name, way in ways.items():
+        got = rows(way(many))
+        assert repr(got) == repr(rows(way([]))) and got, name  # texts, since NaN equals nothing
+    # And what one plain window gives.
+    df.createOrReplaceTempView("plain")
+    falling = spark.sql(
+        "SELECT DISTINCT k, t, sum(n) OVER (PARTITION BY k, t) n, sum(n) OVER (PARTITION BY k ORDER BY t DESC) c, "
+        "sum(n) OVER (PARTITION BY k) w FROM plain"
+    )
+    assert repr(rows(ways["falling"](many))) == repr(rows(falling))
+    numbers = spark.sql(
+        "SELECT k, t, n, id, row_number() OVER (PARTITION BY k ORDER BY t ASC NULLS LAST, n ASC NULLS LAST, id) p FROM plain"
+    )
+    assert repr(rows(ways["positions"](many))) == repr(rows(numbers))
