@@ -1,8 +1,9 @@
 """Repetition rules of a text: what part of its characters stands in duplicated n-grams and lines.
 
 Rolling hashes of word n-grams (several lengths) and hashes of lines, in numpy, a block of texts at
-a time.  A word belongs to the duplicated part of length n if any n-gram over it occurs twice or more
-in its text, the first one included; a line counts from its second occurrence on.
+a time.  A word belongs to the duplicated part of length n if an n-gram over it equals an earlier one
+of its text; a line likewise.  So a heading that stands again at the end counts once.  Only the base
+measure `n_repeat_words` counts first occurrences too.
 
 Null and empty texts have no words and fail the base rule.  Every row is judged alone, so ties,
 repeated rows and other columns play no part.  No verdict depends on other texts.
@@ -31,25 +32,25 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _FIRST = (np.arange(256) & 0xC0) != 0x80  # the first byte of a code point
 
 
-def duplicated(keys: np.ndarray) -> np.ndarray:
-    """Which keys occur more than once."""
+def duplicated(keys: np.ndarray, firsts: bool) -> np.ndarray:
+    """Which keys have an equal earlier one, or with `firsts` an equal one anywhere."""
     order = np.argsort(keys, kind="stable")
     same = np.zeros(len(keys) + 1, bool)
     same[1:-1] = keys[order[1:]] == keys[order[:-1]]
     out = np.empty(len(keys), bool)
-    out[order] = same[1:] | same[:-1]
+    out[order] = same[1:] | same[:-1] if firsts else same[:-1]
     return out
 
 
-def covered(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """Which words stand in an n-gram that their row holds twice or more."""
+def covered(hashes: np.ndarray, row: np.ndarray, n: int, firsts: bool = False) -> np.ndarray:
+    """Which words stand in an n-gram that repeats one of their row."""
     total = len(hashes)
     out = np.zeros(total, bool)
     if total < n:
         return out
     start = np.flatnonzero(row[n - 1 :] == row[: total - n + 1])
     keys = arrays.mix(arrays.windows(hashes, n)[start] + row[start].astype(np.uint64) * arrays.SEED)
-    start = start[duplicated(keys)]
+    start = start[duplicated(keys, firsts)]
     edge = np.zeros(total + 1, np.int32)
     np.add.at(edge, start, 1)
     np.add.at(edge, start + n, -1)
@@ -70,7 +71,7 @@ def measures(data: np.ndarray, offsets: np.ndarray, lengths: list[int]) -> dict[
         "n_words": np.diff(bounds).astype(np.int64),
         "word_chars": total(row, chars),
         "n_symbols": np.diff(symbols[offsets]).astype(np.int64),
-        "n_repeat_words": total(row, covered(hashes, row, 3)),
+        "n_repeat_words": total(row, covered(hashes, row, 3, firsts=True)),
     }
     for n in lengths:
         out[f"dup_chars_{n}"] = total(row, chars * covered(hashes, row, n))

@@ -19,6 +19,16 @@ def grams(words, n):
     return {j for k in range(len(words) - n + 1) if count[tuple(words[k : k + n])] > 1 for j in range(k, k + n)}
 
 
+def later(words, n):
+    seen, out = set(), set()
+    for k in range(len(words) - n + 1):
+        gram = tuple(words[k : k + n])
+        if gram in seen:
+            out.update(range(k, k + n))
+        seen.add(gram)
+    return out
+
+
 def rules(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -30,7 +40,7 @@ def rules(text):
         seen.add(line)
     out = {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in text)}
     out |= {"n_repeat_words": len(grams(words, 3)), "n_dup_lines": lines, "dup_line_chars": chars}
-    out |= {f"dup_chars_{n}": sum(len(words[k]) for k in grams(words, n)) for n in quality_rules.LIMITS}
+    out |= {f"dup_chars_{n}": sum(len(words[k]) for k in later(words, n)) for n in quality_rules.LIMITS}
     out["base_failed"] = out["n_words"] < 50 or 100 * out["n_repeat_words"] > 50 * out["n_words"]
     return out
 
