@@ -265,9 +265,8 @@ class Views:
 
     @cached_property
     def timed_metadata(self) -> DataFrame:
-        """Image metadata with its timestamp as a written table, as the master export keeps it."""
-        metadata = self["cxr_metadata"]
-        return settle(metadata.withColumn("StudyDatetime", packed_datetime("StudyDate", "StudyTime")))
+        """Image metadata with its timestamp."""
+        return self["cxr_metadata"].withColumn("StudyDatetime", packed_datetime("StudyDate", "StudyTime"))
 
     @cached_property
     def written_series(self) -> DataFrame:

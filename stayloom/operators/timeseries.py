@@ -53,8 +53,11 @@ def with_elapsed_hours(series: DataFrame, key: str = "stay_id", at: str = "chart
 
 
 def time_series(events: DataFrame, windows: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Window, pivot and elapsed hours: the irregular wide series of every stay."""
-    return with_elapsed_hours(pivot_readings(windowed_readings(events, windows, labels), labels))
+    """Window, pivot and elapsed hours: the irregular wide series of every stay.
+
+    The pivot is settled, since its rows and each stay's first time both come from it.
+    """
+    return with_elapsed_hours(settle(pivot_readings(windowed_readings(events, windows, labels), labels)))
 
 
 def last_hours(series: DataFrame, hours: float = 2, key: str = "stay_id") -> DataFrame:
