@@ -1,16 +1,18 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
-
-* Examples: at most `rows` labelled documents.  Their terms that go with the label (chi-squared of
-  the example counts) are the vocabulary; at most `TERMS` of them.
-* Inverse document frequencies of these terms are counted over all documents.
-* Index: a list of (example, impact) for each term, cut into blocks of consecutive examples with the
-  greatest impact of each block.  A text's best blocks by the sum of these bounds are scored first;
-  blocks whose bound is below the k-th best cosine are left out, which changes no result.
+"""Toxicity by the nearest labelled examples: exact weighted TF-IDF cosine over a block-max inverted index.
+
+* Examples: at most `rows` labelled documents.  All their terms are the vocabulary.
+* Inverse document frequencies of these terms are counted over all documents.  A term's weight is
+  multiplied by 1 + the chi-squared of its example counts with the label, so terms that go with the
+  label decide and no term is left out.
+* Index: the commonest terms, which stand in most texts, are a matrix; a batch of texts is multiplied
+  with it at once.  Each other term has a list of (example, impact), cut into blocks of consecutive
+  examples with the greatest impact of each block.  A text's best blocks by the sum of these bounds are
+  scored first; blocks whose bound is below the k-th best cosine are left out, which changes no result.
 * The k nearest examples vote with weights that fall with distance.  Votes become probabilities by an
   isotonic fit on the examples' own votes, each without itself.  The nearest examples are given as evidence.
 
 Terms are runs of letters, lower-cased.  A text with no term of the vocabulary, an empty or a null one
-gets the rate of the label among examples without a term.  With no examples every score is 0.  Labels,
+gets the rate of the label among examples without a term, drawn to the rate of all by one row.  With no examples every score is 0.  Labels,
 language, source and id are never inputs.  Equal cosines go to the smaller example number.
 """
 
@@ -31,11 +33,12 @@ from stayloom.llm.frames import packed, ready, unpacked
 from stayloom.llm.samples import fitted, labelled, share
 
 ROWS = 8192
-TERMS = 4096
-CHI_SQUARED = 35.0
-SUPPORT = 5  # different texts a term must stand in
 NEAREST = 9
-BLOCK = 64
+BLOCK = 1024
+FIRST = 4  # blocks scored before the others are held against the k-th best
+HEAD = 512  # terms in the matrix
+BATCH = 256  # texts multiplied with it at once
+SLACK = 1e-5  # for the rounding of its product and of bounds; what is nearer is computed anew
 SOFT = 0.1  # added to distances
 SHARP = 4  # power of the cosine in a vote
 PRIOR = 0.3  # weight of the rate without neighbours in a vote
@@ -57,8 +60,9 @@ def known(hashes: np.ndarray, row: np.ndarray, vocabulary: np.ndarray) -> tuple[
     """(row, term, tf) of the vocabulary's terms, a row's together."""
     if not len(vocabulary):
         return (np.zeros(0, np.int64),) * 3
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    hit = vocabulary[at] == hashes
+    words, back = np.unique(hashes, return_inverse=True)
+    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+    hit, at = (vocabulary[at] == words)[back], at[back]
     keys, many = np.unique(row[hit] * len(vocabulary) + at[hit], return_counts=True)
     return keys // len(vocabulary), keys % len(vocabulary), many
 
@@ -71,6 +75,17 @@ class Examples:
     rows: list = field(default_factory=list)  # (terms, counts) of each example
     ids: np.ndarray | None = None
     labels: np.ndarray | None = None
+    strength: np.ndarray | None = None  # factor of each term's weight; None is 1
+
+    def __getstate__(self) -> dict:
+        """Flat and in 32 bits: the driver gets all of it as one value."""
+        flat = [np.concatenate([np.zeros(0, np.int32), *[r[k] for r in self.rows]], dtype=np.int32, casting="unsafe") for k in (0, 1)]
+        return self.__dict__ | {"rows": (np.cumsum([len(t) for t, _ in self.rows]), *flat)}
+
+    def __setstate__(self, state: dict) -> None:
+        ends, *flat = state["rows"]
+        rows = list(zip(*(np.split(x, ends[:-1]) for x in flat))) if len(ends) else []
+        self.__dict__.update(state | {"rows": rows})
 
 
 def families(texts: pa.ChunkedArray) -> np.ndarray:
@@ -87,12 +102,18 @@ def families(texts: pa.ChunkedArray) -> np.ndarray:
 
 
 def choose(ids: np.ndarray, texts: pa.ChunkedArray, labels: np.ndarray) -> Examples:
-    """Terms that go with the label. Copies of one text count once, else all its words would seem to."""
+    """All terms, and how they go with the label. Copies of one text count once, else all its words would seem to."""
     kind = np.unique(families(texts), return_inverse=True)[1]
     pairs = [np.stack([h, (r + first).astype(np.uint64)]) for first, _, h, r in terms(texts)]
     pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.uint64)
     words, back = np.unique(pairs[0], return_inverse=True)
     row = pairs[1].astype(np.int64)
+    made = Examples(words, [(np.zeros(0, np.int64),) * 2 for _ in ids], ids, labels)
+    keys, many = np.unique(row * max(1, len(words)) + back, return_counts=True)
+    at, term = keys // max(1, len(words)), keys % max(1, len(words))
+    cuts = np.flatnonzero(np.diff(at, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(at)]):
+        made.rows[at[a]] = (term[a:b], many[a:b])
     family = kind[row] * 2 + labels[row] if len(row) else row
     once = np.unique(back * (2 * len(kind) + 2) + family)
     back, toxic_one = once // (2 * len(kind) + 2), once % 2
@@ -101,65 +122,135 @@ def choose(ids: np.ndarray, texts: pa.ChunkedArray, labels: np.ndarray) -> Examp
     some, n, positive = np.bincount(back, minlength=len(words)), len(every), (every % 2).sum()
     expected = some * positive / max(1, n)
     spread = expected * (1 - positive / max(1, n)) * (1 - some / max(1, n))
-    strength = np.where(spread > 0, (np.abs(toxic - expected) - 0.5) ** 2 / np.maximum(spread, 1e-9), 0)
-    chosen = np.argsort(-strength, kind="stable")[:TERMS]
-    vocabulary = np.sort(words[chosen[(strength[chosen] >= CHI_SQUARED) & (some[chosen] >= SUPPORT)]])
-    made = Examples(vocabulary, [(np.zeros(0, np.int64),) * 2 for _ in ids], ids, labels)
-    for first, _, hashes, row in terms(texts):
-        at, term, many = known(hashes, row, vocabulary)
-        for k in np.unique(at):
-            made.rows[first + k] = (term[at == k], many[at == k])
+    off = np.maximum(0, np.abs(toxic - expected) - 0.5)
+    made.strength = 1 + np.where((spread > 0) & (some > 1), off**2 / np.maximum(spread, 1e-9), 0)
     return made
 
 
+def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All places of the ranges [start, end), one range after the other."""
+    many = end - start
+    return np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
+
+
 class Index:
-    """Inverted lists in blocks of examples, with each block's greatest impact by term."""
+    """The commonest terms as a matrix, the others in inverted lists with blocks of examples.
+
+    `column` is a term's column in the matrix `head` or -1.  `first` has each other term's entries, one
+    for each block it stands in; an entry has its block, its greatest impact and where its part of the
+    list (`example`, `impact`) begins.
+    """
 
     def __init__(self, examples: Examples, frequency: np.ndarray, documents: int):
         self.vocabulary, self.ids, self.labels = examples.vocabulary, examples.ids, examples.labels
-        self.idf = np.log((1 + documents) / (1 + frequency)) + 1
-        blocks = -(-len(self.ids) // BLOCK)
-        self.bound = np.zeros((len(self.vocabulary), blocks), np.float32)
-        lists: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        self.vectors = []
-        for k, (term, many) in enumerate(examples.rows):
-            weight = self.unit(term, many)
-            self.vectors.append((term, weight))
-            for t, w in zip(term, weight):
-                lists[t].append((k, w))
-                self.bound[t, k // BLOCK] = max(self.bound[t, k // BLOCK], np.nextafter(np.float32(w), np.float32(2)))
-        self.lists = [(np.array([k for k, _ in x], np.int64), np.array([w for _, w in x])) for x in lists]
-        self.edges = [np.searchsorted(at, np.arange(blocks + 1) * BLOCK) for at, _ in self.lists]
+        self.scale = np.log((1 + documents) / (1 + frequency)) + 1
+        if examples.strength is not None:
+            self.scale = self.scale * examples.strength
+        self.blocks = -(-len(self.ids) // BLOCK)
+        self.vectors = [(term, self.unit(term, many)) for term, many in examples.rows]
+        own = np.repeat(np.arange(len(self.vectors), dtype=np.int32), [len(t) for t, _ in self.vectors])
+        term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in self.vectors]])
+        impact = np.concatenate([np.zeros(0), *[w for _, w in self.vectors]])
+        common = np.argsort(-np.bincount(term, minlength=len(self.vocabulary)), kind="stable")[:HEAD]
+        self.column = np.full(len(self.vocabulary), -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        in_head = self.column[term] >= 0
+        self.dense = len(common), own[in_head].astype(np.int32), self.column[term[in_head]], impact[in_head]
+        self.matrix()
+        own, term, impact = own[~in_head], term[~in_head], impact[~in_head]
+        order = np.argsort(term, kind="stable")
+        self.example, self.impact, term = own[order], impact[order], term[order].astype(np.int64)
+        del own, impact, order
+        entry = term * max(1, self.blocks) + self.example // BLOCK
+        begin = np.flatnonzero(np.diff(entry, prepend=-1))
+        self.begin = np.append(begin, len(entry))
+        self.block = (self.example[begin] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.impact, begin) if len(begin) else np.zeros(0)
+        self.first = np.searchsorted(term[begin], np.arange(len(self.vocabulary) + 1))
         none = np.array([not len(t) for t, _ in self.vectors], bool)
-        self.base = (self.labels[none].sum() + 0.5) / (none.sum() + 1) if len(self.ids) else 0.0
+        rate = (self.labels.sum() + 0.5) / (len(self.ids) + 1)
+        self.base = (self.labels[none].sum() + rate) / (none.sum() + 1) if len(self.ids) else 0.0
         self.steps = (np.zeros(0), np.zeros(0))
-        votes = [self.vote(*v, without=k) for k, v in enumerate(self.vectors) if len(v[0])]
-        self.steps = isotonic(np.array([v for v, _ in votes]), self.labels[~none]) if votes else self.steps
+        some = np.flatnonzero(~none)
+        sides = self.products([self.vectors[k] for k in some])
+        votes = np.array([self.vote(*self.vectors[k], k, side)[0] for k, side in zip(some, sides)])
+        self.steps = isotonic(votes, self.labels[some]) if len(some) else self.steps
+
+    def matrix(self) -> None:
+        columns, row, column, impact = self.dense
+        self.head = np.zeros((len(self.ids), columns))
+        self.head[row, column] = impact
+        self.rounded = np.ascontiguousarray(self.head.T, np.float32)
+
+    def __getstate__(self) -> dict:
+        """The matrix's own values and the lists hold the vectors already."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("vectors", "head", "rounded")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.matrix()
 
     def unit(self, term: np.ndarray, many: np.ndarray) -> np.ndarray:
-        weight = (1 + np.log(many)) * self.idf[term]
+        weight = (1 + np.log(many)) * self.scale[term]
         return weight / np.sqrt((weight**2).sum()) if len(weight) else weight
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The NEAREST examples with a common term and their cosines, exactly."""
-        bound = weight @ self.bound[term]
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) >= NEAREST and bound[b] < cosine[NEAREST - 1]):
-                break
-            total = np.zeros(BLOCK)
-            for t, w in zip(term, weight):
-                a, z = self.edges[t][b], self.edges[t][b + 1]
-                total[self.lists[t][0][a:z] - b * BLOCK] += w * self.lists[t][1][a:z]
-            found = np.flatnonzero(total)
-            found = found[found + b * BLOCK != without]
-            best, cosine = np.append(best, found + b * BLOCK), np.append(cosine, total[found])
-            order = np.lexsort((best, -cosine))[:NEAREST]
-            best, cosine = best[order], cosine[order]
-        return best, cosine
-
-    def vote(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[float, list]:
-        best, cosine = self.nearest(term, weight, without)
+    def products(self, vectors: list) -> Iterator[np.ndarray]:
+        """For each vector its rounded product with the matrix, one number for each example."""
+        for k in range(0, len(vectors), BATCH):
+            some = np.zeros((len(vectors[k : k + BATCH]), len(self.rounded)), np.float32)
+            for one, (term, weight) in zip(some, vectors[k : k + BATCH]):
+                at = self.column[term]
+                one[at[at >= 0]] = weight[at >= 0]
+            yield from some @ self.rounded
+
+    def nearest(
+        self, term: np.ndarray, weight: np.ndarray, without: int = -1, side: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The NEAREST examples with a common term and their cosines, exactly. `side`: what `products` gives."""
+        side = next(self.products([(term, weight)])) if side is None else side
+        at = self.column[term]
+        own = np.zeros(self.head.shape[1])
+        own[at[at >= 0]] = weight[at >= 0]
+        term, weight = term[at < 0], weight[at < 0]
+        lo, hi = self.first[term], self.first[term + 1]
+        entry, factor = ranges(lo, hi), np.repeat(weight, hi - lo)
+        block = self.block[entry]
+        bound = np.maximum.reduceat(side, np.arange(0, len(side), BLOCK)) if len(side) else side
+        bound = bound + np.bincount(block, weights=factor * self.most[entry], minlength=self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best, cosine, rest = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        done, size = 0, FIRST
+        while done < len(order):
+            open_ = order[done : done + size]
+            if len(best) >= NEAREST:
+                open_ = open_[bound[open_] >= np.partition(cosine, -NEAREST)[-NEAREST] - SLACK]
+                if not len(open_):
+                    break
+            done, size = done + len(open_), 8 * size
+            part = np.zeros(self.blocks, bool)
+            part[open_] = True
+            scored = np.flatnonzero(np.repeat(part, BLOCK)[: len(side)])
+            part = np.flatnonzero(part[block])
+            a, z = self.begin[entry[part]], self.begin[entry[part] + 1]
+            at = ranges(a, z)
+            total = np.bincount(self.example[at], weights=np.repeat(factor[part], z - a) * self.impact[at], minlength=len(side))
+            near = total[scored] + side[scored]
+            keep = (near > 0) & (scored != without)
+            if keep.sum() > NEAREST:
+                keep &= near >= np.partition(near[keep], -NEAREST)[-NEAREST] - SLACK
+            best, cosine, rest = (np.append(x, y[keep]) for x, y in ((best, scored), (cosine, near), (rest, total[scored])))
+        if len(best) > NEAREST:
+            keep = cosine >= np.partition(cosine, -NEAREST)[-NEAREST] - SLACK
+            best, rest = best[keep], rest[keep]
+        cosine = rest + (self.head[best] * own).sum(axis=1)
+        near = np.lexsort((best, -cosine))[:NEAREST]
+        return best[near], cosine[near]
+
+    def vote(
+        self, term: np.ndarray, weight: np.ndarray, without: int = -1, side: np.ndarray | None = None
+    ) -> tuple[float, list]:
+        best, cosine = self.nearest(term, weight, without, side)
         if not len(best):
             return float(self.base), []
         pull = cosine**SHARP / (np.maximum(0, 1 - cosine) + SOFT)
@@ -211,10 +302,11 @@ def scored(index: Broadcast, shown: int) -> Callable:
                 score, evidence = np.full(rows, own.base), [[]] * rows
                 at, term, many = known(hashes, row, own.vocabulary)
                 cuts = np.flatnonzero(np.diff(at, prepend=-1))
-                for a, b in zip(cuts, [*cuts[1:], len(at)]):
-                    vote, near = own.vote(term[a:b], own.unit(term[a:b], many[a:b]))
-                    score[at[a]] = own.probability(vote)
-                    evidence[at[a]] = [{"doc_id": i, "cosine": c, "label": y} for i, c, y in near[:shown]]
+                vectors = [(term[a:b], own.unit(term[a:b], many[a:b])) for a, b in zip(cuts, [*cuts[1:], len(at)])]
+                for k, vector, side in zip(at[cuts], vectors, own.products(vectors)):
+                    vote, near = own.vote(*vector, side=side)
+                    score[k] = own.probability(vote)
+                    evidence[k] = [{"doc_id": i, "cosine": c, "label": y} for i, c, y in near[:shown]]
                 rest = batch.column("rest").slice(first, rows)
                 yield pa.RecordBatch.from_arrays([rest, pa.array(score), pa.array(evidence, _EVIDENCE)], ["rest", "score", "evidence"])
 
@@ -239,10 +331,13 @@ def toxicity(
     source = packed(docs, text, id)
     examples = fitted(labelled(source, labels, label, usable, rows), choose)
     terms_ = spark.sparkContext.broadcast(examples.vocabulary)
-    counts = source.select("in_text").mapInArrow(frequencies(terms_), "term bigint, many bigint").groupBy("term").sum("many").collect()
-    many = {r[0]: r[1] for r in counts}
-    frequency = np.array([many.get(k, 0) for k in range(len(examples.vocabulary))], np.float64)
-    index = spark.sparkContext.broadcast(Index(examples, frequency, many.get(-1, 0)))
+    counts = source.select("in_text").mapInArrow(frequencies(terms_), "term bigint, many bigint").groupBy("term").agg(F.sum("many").alias("many"))
+    term, many = (counts.toArrow().column(c).to_numpy() for c in ("term", "many"))
+    frequency = np.zeros(len(examples.vocabulary) + 1)
+    frequency[term] = many  # the last one, -1, is the number of documents
+    index = Index(examples, frequency[:-1], int(frequency[-1]))
+    del examples, index.vectors, index.head, index.rounded  # the driver scores no text
+    index = spark.sparkContext.broadcast(index)
     if keep_text:
         source = source.withColumn("rest", F.struct(*[F.col(f"rest.`{c}`") if c != text else F.col("in_text").alias(text) for c in docs.columns]))
     rest = source.schema["rest"].dataType.simpleString()

@@ -115,6 +115,21 @@ def test_nearest_is_exact():
             assert np.allclose(got, cosine[want]) and np.allclose(cosine[best], cosine[want])
 
 
+def test_nearest_is_exact_in_lists(monkeypatch):
+    """The same with few terms in the matrix and small blocks."""
+    for name, value in (("HEAD", 3), ("BLOCK", 16), ("FIRST", 1), ("BATCH", 7)):
+        monkeypatch.setattr(toxicity, name, value)
+    test_nearest_is_exact()
+
+
+def test_every_term_of_the_examples_is_indexed():
+    """Also with few labels, where no term stands out."""
+    made = toxicity.choose(np.arange(3), pa.chunked_array([["good day", "bad day", "bad luck"]]), np.array([0, 1, 1]))
+    assert len(made.vocabulary) == 4 and [len(t) for t, _ in made.rows] == [2, 2, 2] and (made.strength >= 1).all()
+    index = toxicity.Index(made, np.array([2.0] * 4), 10)
+    assert len(index.nearest(*index.vectors[0])[0]) == 2 and index.base < 1
+
+
 def test_isotonic_rises():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4, 0.9]), np.array([0, 1, 0, 1, 1]))
     assert (np.diff(x) >= 0).all() and (np.diff(y) >= 0).all() and y[0] == 0 and y[-1] == 1

@@ -36,6 +36,32 @@ def test_stages(spark):
         assert r["n_chars"] == len(r["text"])
 
 
+def test_toxic_rows_are_dropped(spark):
+    """With 68 usable labels, 10 of them toxic: the held-out toxic row too, and no held-out clean one."""
+    docs, toxic = documents(spark, DATA), documents(spark, DATA, "labels").collect()
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, DATA).collect()}
+    assert 81 not in kept and sum(r["doc_id"] not in kept for r in toxic if r["toxic"]) >= 9
+    assert all(r["doc_id"] in kept for r in toxic if not r["toxic"])
+
+
+def test_planted_insults_are_dropped(spark, tmp_path):
+    """Insults between other words, with few labels: rows that no label covers go by the words they share."""
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)]
+    rows, labels = [], []
+    for i in range(80):
+        text = [words[(i * 37 + k * k * 7 + k) % 300] for k in range(40)]
+        if i % 8 == 0:
+            text[5::6] = ["idiot", "moron", "scum", "vermin", "idiot", "moron"]
+        rows.append((i, " ".join(text), "en", "s", 0))
+        if i < 60:
+            labels.append((i, 1, int(i % 8 == 0)))
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, documents(spark, folder), folder).collect()}
+    assert set(range(80)) - kept == set(range(0, 80, 8))
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "substring_dedup", "packing"]
