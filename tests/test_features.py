@@ -91,3 +91,37 @@ def test_classifier_finds_the_signal(frame):
     assert auroc(scores).first()["auroc"] > 0.9
     assert scores.count() == df.where(features.split_of("stay_id") == "test").count()
     assert len(model.avgMetrics) == 1
+
+
+def test_classifier_queries_take_the_whole_grid_and_fused_features(spark, monkeypatch):
+    from stayloom.driver import QUERIES
+
+    seen = []
+
+    def fit(training, search, *rest, **options):
+        seen.append((len(search.grid), training.select("vector").first()[0].size))
+        return search.estimator.copy({search.estimator.maxIter: 1}).fit(training)
+
+    monkeypatch.setattr(models, "fit", fit)
+    for name in ("lr_predict", "gbt_predict"):
+        got = QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert got.columns == ["stay_id", "y_true", "y_prob"] and got.count() > 0
+    grids = len(models.logistic_search(1).grid), len(models.tree_search().grid)
+    assert seen == [(grids[0], 77), (grids[1], 77)] and grids == (27, 54)
+
+
+def test_logistic_optimum(spark):
+    """The gradient of the penalised loss is near zero at what the search's estimator finds."""
+    import math
+
+    draw = random.Random(3)
+    points = [(i, [draw.gauss(0, 1), draw.gauss(0, 1)]) for i in range(300)]
+    data = [(i, int(x[0] - x[1] / 2 + draw.gauss(0, 1) > 0), x) for i, x in points]
+    table = models.prepare(spark.createDataFrame(data, "stay_id bigint, y_true int, features array<double>"))
+    search = models.logistic_search(300, strengths=[1.0], penalties=["l2"], iterations=[500])
+    fitted = search.estimator.fit(table, search.grid[0])
+    w, b = fitted.coefficients.toArray(), fitted.intercept
+    errors = [1 / (1 + math.exp(-(w[0] * x[0] + w[1] * x[1] + b))) - y for _, y, x in data]
+    assert abs(sum(errors)) / 300 < 1e-3
+    for k in (0, 1):
+        assert abs(sum(e * x[k] for e, (_, _, x) in zip(errors, data)) / 300 + w[k] / 300) < 1e-3
