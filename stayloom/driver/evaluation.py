@@ -76,7 +76,7 @@ def _(v: Views):
 
 # --- bootstrap ----------------------------------------------------------------------------------
 
-REPLICATES = 50
+REPLICATES = 1000
 NAMES = metrics.METRICS
 
 

@@ -123,3 +123,18 @@ def test_contributions(frame):
     grouped = metrics.grouped_attribution(df, {"x": ["a", "b"], "y": ["c"]})
     assert rows(grouped) == [(1.0, 2.0), (3.0, -4.0)]
     assert dict(rows(metrics.attribution_contribution(grouped, ["x", "y"]))) == {"x": 2.0, "y": 3.0}
+
+
+def test_bootstrap_queries_draw_as_often_as_the_operator(spark, monkeypatch):
+    import inspect
+
+    from stayloom.driver import ORACLES, QUERIES
+    from stayloom.operators import metrics as operators
+
+    seen, draws = [], operators.bootstrap_draws
+    monkeypatch.setattr(operators, "bootstrap_draws", lambda n, replicates, *rest: seen.append(replicates) or draws(n, replicates, *rest))
+    default = inspect.signature(operators.bootstrap).parameters["replicates"].default
+    for name in ("bootstrap_ci", "perf_table"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert f"range({default} * n)" in ORACLES[name]
+    assert seen == [default, default] and default == 1000
