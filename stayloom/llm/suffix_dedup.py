@@ -1,13 +1,13 @@
-"""Substring deduplication over bytes by suffix arrays of a content-defined parse.
+"""Substring deduplication over bytes by content-defined triggers and sorted contexts.
 
 Triggers are the least rolling hashes among all places of a 400-byte window, so every window holds
-one, and equal windows hold the same one.  The text between triggers is a phrase; the dictionary
-has each different phrase context once.  Where contexts of one trigger differ, two suffix arrays are
-sorted: the bytes before the trigger (ends of dictionary phrases, read backwards) and the bytes from
-the trigger on (the parse that follows).  A 400-byte string with `a` bytes before its trigger is a
+one, and equal windows hold the same one.  There is no prefix-free parse: neither a phrase dictionary
+nor a parse is built or sorted.  A stretch of windows that recurs whole is decided by two 64-bit hashes.
+Where a trigger has 2 to `group` different contexts, two orders are sorted: the bytes before the trigger,
+read backwards, and the bytes from the trigger on.  A 400-byte string with `a` bytes before its trigger is a
 class of the first order at depth `a` and of the second at depth 400 - a; both classes together are
-its place in corpus order, and a place that several strings share is a repeat.  Bytes are compared,
-not hashes.
+its place in corpus order, and a place that several strings share is a repeat; in this case
+alone bytes are compared.
 
 A trigger with more than `group` different contexts is not gathered in one task: its strings are
 counted in Spark by 128-bit hashes instead.
