@@ -7,8 +7,8 @@
 * Directory: a bucket is a prefix of the key.  A bucket with more than `capacity` keys is split and
   the directory doubles until none is; only overfull buckets take part in the next doubling.  The
   directory is a table, never held by the driver.
-* Index: keys with their bucket, dealt out by key range and written in bucket order; `lookup` reads
-  the buckets of given texts only.  Every owner task thus holds a range of buckets.
+* Index: keys with their bucket, dealt out by key range and written in bucket order.  It tells the keys
+  with several entries; the steps after it are dealt by key, not by bucket.
 * Chains: keys with several entries may hold different texts.  Their texts are fetched and grouped
   by their bytes (combined before the shuffle), which is the comparison; each different text is a
   link of the chain, with the row that stays and the number of copies.
