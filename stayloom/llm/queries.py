@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stayloom.llm import (
     bpe,
     exact_dedup,
+    fingerprints,
     minhash,
     packing,
     quality_classifier,
@@ -67,6 +68,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.digest(documents(spark, folder))
 
 
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.digest(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_minhash,
         op10_exact_dedup,
+        op13_fingerprints,
     )
 }
 
