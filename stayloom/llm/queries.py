@@ -20,6 +20,7 @@ from stayloom.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    whitening,
 )
 from stayloom.llm.frames import documents, shared_folder
 
@@ -68,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.digest(documents(spark, folder))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.digest(documents(spark, folder, "embeddings"))
+
+
 def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.digest(documents(spark, folder))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_minhash,
         op10_exact_dedup,
+        op11_whitening,
         op13_fingerprints,
     )
 }
