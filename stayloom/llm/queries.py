@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stayloom.llm import (
     bpe,
+    conversations,
     exact_dedup,
     fingerprints,
     minhash,
@@ -73,6 +74,10 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.digest(documents(spark, folder, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.digest(documents(spark, folder, "conversations"))
+
+
 def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.digest(documents(spark, folder))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_minhash,
         op10_exact_dedup,
         op11_whitening,
+        op12_conversation_repair,
         op13_fingerprints,
     )
 }

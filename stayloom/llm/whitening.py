@@ -46,6 +46,7 @@ SCALE = 256
 COMPONENTS = 4
 DIGITS = 160  # bits to which a root is known, relative to itself
 PRECISION = 110  # decimal digits of the inverse iteration
+WORK = 10**7  # cells to eliminate in a task, about a second
 _LIMB, _LIMBS = 30, 6
 
 
@@ -174,7 +175,8 @@ def polynomial(spark: SparkSession, matrix: Sequence[Sequence[int]]) -> list[int
     d, trace = len(matrix), sum(matrix[i][i] for i in range(len(matrix)))
     bound = max(math.comb(d, k) * (trace**k // d**k + 1) for k in range(d + 1))
     moduli = primes(bound)
-    rows = spark.createDataFrame([(m,) for m in moduli], "prime long").repartition(min(len(moduli), 64))
+    each = max(1, WORK // d**3)
+    rows = spark.createDataFrame([(m,) for m in moduli], "prime long").repartition(-(-len(moduli) // each))
 
     def residues(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
