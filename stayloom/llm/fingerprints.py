@@ -120,14 +120,17 @@ def marks(texts: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Data
     drawn = drawn.select(
         *base, "r", "b",
         F.when(F.col("step") == 0, low_table[F.col("part")]).otherwise(between).alias("log_c"),
-        *[F.floor(F.col(f"log_{i}") / F.col("r") + F.col("b")).alias(f"t_{i}") for i in every],
+        # Most weights are 1, where t is 0.
+        *[F.when(F.col(f"log_{i}") == 0, F.lit(0).cast("long"))
+          .otherwise(F.floor(F.col(f"log_{i}") / F.col("r") + F.col("b"))).alias(f"t_{i}") for i in every],
     )
     ranked = drawn.select(
         *base, *[f"t_{i}" for i in every],
         *[(F.col("log_c") - F.col("r") * (F.col(f"t_{i}").cast("double") - F.col("b") + 1.0)).alias(f"a_{i}") for i in every],
-        # A column that isn't a function of the row keeps the filter above what it is computed from.
+        # A filter on a column that isn't a function of the row stays above what it is computed from;
+        # below it, every use of a column would compute the column again.
         F.spark_partition_id().alias("task"),
-    ).where(" OR ".join(f"a_{i} < reach_{i}" for i in every))
+    ).where(f"({' OR '.join(f'a_{i} < reach_{i}' for i in every)}) AND task >= 0")
 
     def least(i: int) -> Column:
         rank = F.call_function("shiftleft", F.floor((F.col(f"a_{i}") + F.lit(_LOWEST)) * F.lit(_STEP)), F.lit(32))
