@@ -18,6 +18,8 @@ language, source and id are never inputs.  Equal cosines go to the smaller examp
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -141,7 +143,7 @@ class Index:
     list (`example`, `impact`) begins.
     """
 
-    def __init__(self, examples: Examples, frequency: np.ndarray, documents: int):
+    def __init__(self, examples: Examples, frequency: np.ndarray, documents: int, steps: tuple | None = None):
         self.vocabulary, self.ids, self.labels = examples.vocabulary, examples.ids, examples.labels
         self.scale = np.log((1 + documents) / (1 + frequency)) + 1
         if examples.strength is not None:
@@ -170,7 +172,10 @@ class Index:
         none = np.array([not len(t) for t, _ in self.vectors], bool)
         rate = (self.labels.sum() + 0.5) / (len(self.ids) + 1)
         self.base = (self.labels[none].sum() + rate) / (none.sum() + 1) if len(self.ids) else 0.0
-        self.steps = (np.zeros(0), np.zeros(0))
+        self.steps = (np.zeros(0), np.zeros(0)) if steps is None else steps
+        if steps is not None:
+            del self.vectors
+            return
         some = np.flatnonzero(~none)
         sides = self.products([self.vectors[k] for k in some])
         votes = np.array([self.vote(*self.vectors[k], k, side)[0] for k, side in zip(some, sides)])
@@ -182,14 +187,6 @@ class Index:
         self.head[row, column] = impact
         self.rounded = np.ascontiguousarray(self.head.T, np.float32)
 
-    def __getstate__(self) -> dict:
-        """The matrix's own values and the lists hold the vectors already."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("vectors", "head", "rounded")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.matrix()
-
     def unit(self, term: np.ndarray, many: np.ndarray) -> np.ndarray:
         weight = (1 + np.log(many)) * self.scale[term]
         return weight / np.sqrt((weight**2).sum()) if len(weight) else weight
@@ -291,12 +288,52 @@ def frequencies(vocabulary: Broadcast) -> Callable:
     return run
 
 
+class Model:
+    """Everything a task needs to build the index, packed: the driver never opens it.
+
+    The index and the fit of the probabilities are made in tasks; a worker builds its index once.
+    """
+
+    def __init__(self, packed_examples: bytes, frequency: np.ndarray, documents: int, steps: tuple | None = None):
+        self.packed, self.frequency, self.documents, self.steps = packed_examples, frequency, documents, steps
+        self.built: Index | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"built": None}
+
+    @property
+    def index(self) -> Index:
+        if self.built is None:
+            examples = pickle.loads(zlib.decompress(self.packed))
+            self.built = Index(examples, self.frequency, self.documents, self.steps)
+        return self.built
+
+
+def chosen(ids: np.ndarray, texts: pa.ChunkedArray, labels: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The vocabulary, and the examples packed."""
+    made = choose(ids, texts, labels)
+    return made.vocabulary, zlib.compress(pickle.dumps(made, 5), 1)
+
+
+def calibrated(model: Broadcast) -> Callable:
+    """The steps from votes to probabilities, (x, y) by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                own = model.value.index
+                model.value.built = None  # as built here it holds the examples' vectors too
+                yield pa.RecordBatch.from_arrays([pa.array(s) for s in own.steps], ["x", "y"])
+
+    return run
+
+
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
 
-def scored(index: Broadcast, shown: int) -> Callable:
+def scored(model: Broadcast, shown: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = index.value
+        own = model.value.index
         for batch in batches:
             for first, rows, hashes, row in terms(batch.column("in_text")):
                 score, evidence = np.full(rows, own.base), [[]] * rows
@@ -329,20 +366,24 @@ def toxicity(
     says which labels may be learnt."""
     spark = ready(docs.sparkSession)
     source = packed(docs, text, id)
-    examples = fitted(labelled(source, labels, label, usable, rows), choose)
-    terms_ = spark.sparkContext.broadcast(examples.vocabulary)
+    vocabulary, examples = fitted(labelled(source, labels, label, usable, rows), chosen)
+    terms_ = spark.sparkContext.broadcast(vocabulary)
     counts = source.select("in_text").mapInArrow(frequencies(terms_), "term bigint, many bigint").groupBy("term").agg(F.sum("many").alias("many"))
     term, many = (counts.toArrow().column(c).to_numpy() for c in ("term", "many"))
-    frequency = np.zeros(len(examples.vocabulary) + 1)
+    terms_.destroy()
+    frequency = np.zeros(len(vocabulary) + 1)
     frequency[term] = many  # the last one, -1, is the number of documents
-    index = Index(examples, frequency[:-1], int(frequency[-1]))
-    del examples, index.vectors, index.head, index.rounded  # the driver scores no text
-    index = spark.sparkContext.broadcast(index)
+    model = Model(examples, frequency[:-1], int(frequency[-1]))
+    raw = spark.sparkContext.broadcast(model)
+    found = spark.range(1).repartition(1).mapInArrow(calibrated(raw), "x double, y double").toArrow()
+    raw.destroy()
+    model.steps = tuple(found.column(c).to_numpy() for c in ("x", "y"))
+    model = spark.sparkContext.broadcast(model)
     if keep_text:
         source = source.withColumn("rest", F.struct(*[F.col(f"rest.`{c}`") if c != text else F.col("in_text").alias(text) for c in docs.columns]))
     rest = source.schema["rest"].dataType.simpleString()
     found = source.select("rest", "in_text").mapInArrow(
-        scored(index, shown), f"rest {rest}, score double, evidence array<struct<doc_id:bigint,cosine:double,label:int>>"
+        scored(model, shown), f"rest {rest}, score double, evidence array<struct<doc_id:bigint,cosine:double,label:int>>"
     )
     added = {"score": F.col("score"), "predicted": (F.col("score") >= threshold).cast("int"), "evidence": F.col("evidence")}
     return unpacked(found, [c for c in docs.columns if keep_text or c != text], added)
