@@ -222,7 +222,7 @@ def remove_repeats(
     marks = (
         found.join(repeated, "anchor", "left_semi")
         .groupBy("in_id", "in_hash")
-        .agg(F.collect_list("at").alias("marks"))
+        .agg(F.collect_set("at").alias("marks"))  # repeated rows bring the same places
     )
     rest = keyed.schema["rest"].dataType.simpleString()
     corpus = settle(

@@ -81,3 +81,13 @@ def test_empty_tables(spark):
 def test_units_of_one_text(spark):
     unit = repeats.Unit(3, 2, True)
     assert unit.joined(unit.pieces(b" a\tb  c\n")) == b"a b c"
+
+
+@pytest.mark.parametrize("operator", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup])
+def test_many_rows_of_one_id_and_text(spark, operator):
+    """Each keeps the places of its own text once, not those of all rows."""
+    text = " ".join(f"word{i}" for i in range(400))
+    docs = spark.createDataFrame([(None, text)] * 20_000 + [(1, "word1 word2")], "doc_id bigint, text string").repartition(8)
+    counted = operator(docs, with_text=False).groupBy("doc_id", "n_removed").count().collect()
+    whole = 400 if operator is substring_dedup.substring_dedup else len(text)
+    assert {tuple(r) for r in counted} == {(None, whole, 20_000), (1, 0, 1)}
