@@ -6,8 +6,9 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from stayloom.config import AGE_CUTOFFS, TABULAR_VARIABLES, VITAL_SIGNS, TrainingConfig
+from stayloom.config import AGE_CUTOFFS, MODALITY_MIXES, TABULAR_VARIABLES, VITAL_SIGNS, TrainingConfig
 from stayloom.operators import features, metrics, profiles
+from stayloom.operators.models import ModelStore
 from stayloom.plans import experiment, master, training
 from stayloom.session import build_session, intermediate
 from stayloom.sources.folders import require
@@ -66,7 +67,8 @@ def run_notes(spark, a) -> None:
     experiment.note_texts(radiology, a.numbered).write.mode("overwrite").parquet(f"{a.output_dir}/note_texts")
 
 
-def run_classify(spark, a) -> None:
+def fused_features(spark, a) -> tuple[features.FusedFeatures, str]:
+    """The fused blocks named on the command line, with the outcome, and the name of their models."""
     tabular = require(spark, a.input_dir, ["tabular"])["tabular"]
     path = a.embedding_path
     series = read_matrix(spark, f"{path}/{a.time_series_model}")
@@ -78,11 +80,26 @@ def run_classify(spark, a) -> None:
         "image": features.column_block(read_matrix(spark, f"{path}/{a.image_model}")),
         "text": features.column_block(read_matrix(spark, f"{path}/{a.text_model}")),
     }
-    fused = features.fuse(blocks, tabular.select("stay_id", a.outcome))
     name = f"{a.time_series_model}+{a.image_model}+{a.text_model}"
-    experiment.predictions(fused, a.outcome, name, a.classification_model).write.mode("overwrite").parquet(
-        f"{a.output_dir}/{a.outcome}/{name.replace('+', '_')}_results"
+    return features.fuse(blocks, tabular.select("stay_id", a.outcome)), name
+
+
+def model_store(spark, a, name: str) -> ModelStore:
+    return ModelStore(spark, f"{a.model_path or a.output_dir}/{a.outcome}/{name.replace('+', '_')}_models")
+
+
+def run_classify(spark, a) -> None:
+    fused, name = fused_features(spark, a)
+    scores = experiment.predictions(
+        fused, a.outcome, name, a.classification_model, a.mixes, store=model_store(spark, a, name)
     )
+    scores.write.mode("overwrite").parquet(f"{a.output_dir}/{a.outcome}/{name.replace('+', '_')}_results")
+
+
+def run_contribution(spark, a) -> None:
+    fused, name = fused_features(spark, a)
+    shares = experiment.contributions(fused, model_store(spark, a, name), a.mixes)
+    write_csv(shares, f"{a.output_dir}/{a.outcome}/{name.replace('+', '_')}_contribution")
 
 
 def run_evaluate(spark, a) -> None:
@@ -167,15 +184,23 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--input-dir", required=True)
     c.add_argument("--numbered", action="store_true")
 
-    c = command("classify", run_classify, "fuse feature blocks, train and score")
-    c.add_argument("--input-dir", required=True)
-    c.add_argument("--embedding-path", required=True)
-    c.add_argument("--time-series-model", default="fixed_time_interval")
-    c.add_argument("--image-model", default="cxr_foundation")
-    c.add_argument("--text-model", default="radbert")
-    c.add_argument("--outcome", default="hospital_expire_flag")
+    def blocks(c: argparse.ArgumentParser) -> None:
+        c.add_argument("--input-dir", required=True)
+        c.add_argument("--embedding-path", required=True)
+        c.add_argument("--time-series-model", default="fixed_time_interval")
+        c.add_argument("--image-model", default="cxr_foundation")
+        c.add_argument("--text-model", default="radbert")
+        c.add_argument("--outcome", default="hospital_expire_flag")
+        c.add_argument("--model-path")
+        c.add_argument("--mixes", nargs="+", choices=list(MODALITY_MIXES), default=list(MODALITY_MIXES))
+
+    c = command("classify", run_classify, "fuse feature blocks, train, keep the models and score")
+    blocks(c)
     c.add_argument("--classification-model", choices=["LR", "GBT"], default="LR")
 
+    c = command("contribution", run_contribution, "contribution of each modality under kept linear models")
+    blocks(c)
+
     c = command("evaluate", run_evaluate, "performance, best baseline and fairness tables")
     c.add_argument("--results", nargs="+", required=True)
     c.add_argument("--tabular-dir")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayloom.config import MODALITY_MIXES, RACE_GROUPS
@@ -10,8 +13,9 @@ from stayloom.driver.selection import base
 from stayloom.driver.series import SPLIT_NUMBER
 from stayloom.driver.views import OBSERVED, Views
 from stayloom.functions.values import regroup
-from stayloom.operators import features, models
+from stayloom.operators import features, metrics, models
 from stayloom.operators.outcomes import los_binary
+from stayloom.session import shared_folder
 
 _GROUPS = " ".join(f"WHEN contains(race, '{g}') THEN '{g}'" for g in RACE_GROUPS)
 REGROUPED = f"CASE {_GROUPS} ELSE 'OTHER' END"
@@ -184,7 +188,7 @@ def _(v: Views):
 # --- classifiers --------------------------------------------------------------------------------
 
 
-def labelled(v: Views):
+def labelled(v: Views) -> features.FusedFeatures:
     """Labelled documents with the fused features of all modalities; no label is a feature."""
     languages = ["de", "en", "es", "fr"]
     df = v["labels"].join(v["documents"].select("doc_id", "lang", "n_chars", "source"), "doc_id")
@@ -195,7 +199,10 @@ def labelled(v: Views):
     )
     blocks = {"text": features.column_block(text)} | {k: b for k, b in source_blocks(v).items() if k != "text"}
     outcome = df.select(F.col("doc_id").alias("stay_id"), F.col("quality").alias("label"))
-    return features.fuse(blocks, outcome).vectors("Baseline+Image+Text", "label")
+    return features.fuse(blocks, outcome)
+
+
+MIX = "Baseline+Image+Text"
 
 
 #: What SQL can know of learnt scores: the rows of the test split, their labels, and the range of a probability.
@@ -208,12 +215,32 @@ def _in_range(predictions):
     return predictions.select("stay_id", "y_true", F.col("y_prob").between(0, 1).alias("probable"))
 
 
+def _store(v: Views) -> models.ModelStore:
+    """Where this session keeps the models of a folder's tables, for all queries that need them."""
+    place = hashlib.md5(f"{v.spark.sparkContext.applicationId} {v.folder}".encode()).hexdigest()
+    return models.ModelStore(v.spark, f"{shared_folder(v.spark)}/models-{place}")
+
+
+def _fitted(v: Views, kind: str):
+    """The model of a kind, kept or fitted over the whole grid, and the rows it is for."""
+    whole = labelled(v)
+    rows = models.prepare(whole.vectors(MIX, "label"))
+    training = rows.where("split <> 'test'")
+
+    def make() -> models.Found:
+        search = models.logistic_search(training.count()) if kind == "LR" else models.tree_search()
+        return models.fit(training, search)
+
+    blocks = {b: whole.names[b] for b in MODALITY_MIXES[MIX]}
+    return _store(v).fit_or_load(kind, make, blocks), rows.where("split = 'test'")
+
+
 def _logistic(v: Views):
-    return models.fit_predict(labelled(v), "LR")[0]
+    return models.predict(*_fitted(v, "LR"))
 
 
 def _trees(v: Views):
-    return models.fit_predict(labelled(v), "GBT")[0]
+    return models.predict(*_fitted(v, "GBT"))
 
 
 @query("lr_predict")
@@ -236,3 +263,15 @@ def _(v: Views):
 @query("gbt_predict_range", _SCORED)
 def _(v: Views):
     return _in_range(_trees(v))
+
+
+@query(
+    "lr_contribution",
+    " UNION ALL ".join(f"SELECT '{b}' AS modality, TRUE AS share, 1.0E0 AS total" for b in MODALITY_MIXES[MIX]),
+)
+def _(v: Views):
+    """Contribution of each modality under the kept logistic regression: shares that add up to 1."""
+    _fitted(v, "LR")
+    shares = metrics.block_contribution(labelled(v).data, _store(v).block_coefficients("LR"), digits=9)
+    whole = F.sum("contribution").over(Window.partitionBy())  # one row a modality
+    return shares.select("modality", F.col("contribution").between(0, 1).alias("share"), F.round(whole, 6).alias("total"))

@@ -265,8 +265,8 @@ class Views:
 
     @cached_property
     def timed_metadata(self) -> DataFrame:
-        """Image metadata with its timestamp."""
-        return self["cxr_metadata"].withColumn("StudyDatetime", packed_datetime("StudyDate", "StudyTime"))
+        """Image metadata with its timestamp, written once: a plan that filters on it would compute it at every use."""
+        return settle(self["cxr_metadata"].withColumn("StudyDatetime", packed_datetime("StudyDate", "StudyTime")))
 
     @cached_property
     def written_series(self) -> DataFrame:

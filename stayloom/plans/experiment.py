@@ -103,11 +103,17 @@ def scaled_block(block: DataFrame, key: str = "stay_id") -> DataFrame:
 def predictions(
     fused: features.FusedFeatures, outcome: str, models_name: str, kind: str = "LR",
     mixes: Sequence[str] = tuple(MODALITY_MIXES), search: models.Search | None = None,
+    store: models.ModelStore | None = None,
 ) -> DataFrame:
-    """Test-split scores of a classifier per modality mix, as (models, mix, stay_id, y_true, y_prob)."""
+    """Test-split scores of a classifier per modality mix, as (models, mix, stay_id, y_true, y_prob).
+
+    With a `store` each mix's model is kept there under the mix's name.
+    """
     parts = []
     for mix in mixes:
-        scores, _ = models.fit_predict(fused.vectors(mix, outcome), kind, search)
+        scores, found = models.fit_predict(fused.vectors(mix, outcome), kind, search)
+        if store:
+            store.save(mix, found, {b: fused.names[b] for b in MODALITY_MIXES[mix] if b in fused.names})
         parts.append(settle(scores).select(F.lit(models_name).alias("models"), F.lit(mix).alias("mix"), "*"))
     together = parts[0]
     for part in parts[1:]:
@@ -115,6 +121,20 @@ def predictions(
     return together
 
 
+def contributions(
+    fused: features.FusedFeatures, store: models.ModelStore, mixes: Sequence[str] = tuple(MODALITY_MIXES)
+) -> DataFrame:
+    """(mix, modality, contribution) of the kept models' coefficients over the fused features."""
+    parts = [
+        metrics.block_contribution(fused.data, store.block_coefficients(mix)).select(F.lit(mix).alias("mix"), "*")
+        for mix in mixes
+    ]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    return together
+
+
 def performance(scores: DataFrame, replicates: int = 1000, alpha: float = 0.95, seed: int = 0) -> DataFrame:
     """Statistics with bootstrap intervals per model and mix, formatted."""
     by = ["models", "mix"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stayloom.__main__ import main
 from stayloom.config import FINDINGS, VITAL_SIGNS
 from stayloom.operators import features
-from stayloom.operators.models import logistic_search
+from stayloom.operators.models import ModelStore, logistic_search
 from stayloom.plans import experiment, master, training
 from stayloom.sources import folders, sinks
 
@@ -154,7 +154,11 @@ def test_features_to_evaluation(spark, world, tmp_path):
     }
     fused = features.fuse(blocks, tabular.select("stay_id", "los_binary"))
     search = logistic_search(20, strengths=[1.0], penalties=["l2"], iterations=[10])
-    scores = experiment.predictions(fused, "los_binary", "fixed+img+txt", mixes=["Baseline", "Baseline+Image+Text"], search=search)
+    store = ModelStore(spark, f"{tmp_path}/models")
+    both = ["Baseline", "Baseline+Image+Text"]
+    scores = experiment.predictions(fused, "los_binary", "fixed+img+txt", mixes=both, search=search, store=store)
+    shares = experiment.contributions(fused, store, both).groupBy("mix").agg(F.count("*").alias("n"), F.sum("contribution").alias("all"))
+    assert rows(shares, "mix", "n", "all") == [("Baseline", 2, pytest.approx(1, abs=1e-5)), ("Baseline+Image+Text", 4, pytest.approx(1, abs=1e-5))]
     assert scores.select("mix").distinct().count() == 2
     scores.write.parquet(f"{tmp_path}/scores")
     main(["evaluate", "--results", f"{tmp_path}/scores", "--tabular-dir", folder, "--output-dir", f"{tmp_path}/eval", "--n-bootstraps", "20"])

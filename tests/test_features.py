@@ -90,22 +90,112 @@ def test_classifier_finds_the_signal(frame):
     scores, model = models.fit_predict(df, search=search)
     assert auroc(scores).first()["auroc"] > 0.9
     assert scores.count() == df.where(features.split_of("stay_id") == "test").count()
-    assert len(model.avgMetrics) == 1
-
-
-def test_classifier_queries_take_the_whole_grid_and_fused_features(spark, monkeypatch):
+    assert len(model.tried) == 1 and model.settings["maxIter"] == 100
+
+
+def signal(frame, rows=400, seed=5):
+    rng, data = random.Random(seed), []
+    for i in range(rows):
+        x = [rng.gauss(0, 1) for _ in range(4)]
+        data.append((i, int(x[0] * x[1] + x[2] + rng.gauss(0, 0.5) > 0), x))
+    return models.prepare(frame("stay_id long, y_true int, features array<double>", data))
+
+
+def scored(model, rows):
+    return [r["y_prob"] for r in models.predict(model, rows).orderBy("stay_id").collect()]
+
+
+def test_first_trees_are_the_model_of_fewer_iterations(frame):
+    rows = signal(frame)
+    make = models.tree_search().estimator
+    setting = {"maxDepth": 3, "stepSize": 0.1, "minInstancesPerNode": 20}
+    long, short = (models._path_models(make, setting, [n], rows)[n] for n in (12, 5))
+    cut = models.first_trees(long, 5)
+    assert cut.getNumTrees == 5 and scored(cut, rows) == pytest.approx(scored(short, rows))
+    assert models.first_trees(long, 12) is long and scored(long, rows) != pytest.approx(scored(short, rows))
+
+
+def test_halving_finds_the_winner_of_the_full_grid(frame):
+    rows = signal(frame, 300)
+    grid = {"depths": [2, 5, 10], "steps": [0.02, 0.3], "leaf_rows": [5, 120], "counts": [4, 20]}
+    full = models.fit(rows, models.tree_search(**grid, rounds=models.ALL), folds=3)
+    halved = models.fit(rows, models.tree_search(**grid), folds=3)
+    assert len(full.tried) == 3 * 2 * 2 * 2
+    last = max(turn for turn, *_ in halved.tried)
+    assert len([t for t in halved.tried if t[0] == 0]) == 12 and len([t for t in halved.tried if t[0] == last]) == 2
+    assert halved.settings == full.settings and halved.auroc == pytest.approx(full.auroc)
+    assert full.auroc == pytest.approx(max(t[3] for t in full.tried))
+
+
+def test_depths_that_are_not_reached_score_alike(frame):
+    """Twelve fits in full give what fits from the deepest down give."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rows = signal(frame, 200)
+    search = models.tree_search(depths=[1, 4, 9], steps=[0.1], leaf_rows=[25], counts=[6], rounds=models.ALL)
+    found = models.fit(rows, search, folds=2)
+    measure = BinaryClassificationEvaluator(labelCol="y_true")
+    for _, setting, limit, mean in found.tried:
+        each = []
+        for k in (0, 1):
+            model = models._path_models(search.estimator, setting, [limit], rows.where(F.col("fold") != k))[limit]
+            each.append(measure.evaluate(model.transform(rows.where(F.col("fold") == k))))
+        assert mean == pytest.approx(sum(each) / 2)
+
+
+def test_a_converged_regression_serves_all_limits(frame):
+    rows = signal(frame)
+    search = models.logistic_search(400, strengths=[1.0], penalties=["l2"])
+    found = models._path_models(search.estimator, search.paths[0].settings, [2, 100, 500], rows)
+    assert found[100] is found[500] and found[2] is not found[500]
+    for limit in (2, 100):
+        own = search.estimator.fit(rows, {**search.grid[0], search.estimator.maxIter: limit})
+        assert found[limit].coefficients.toArray() == pytest.approx(own.coefficients.toArray())
+
+
+@pytest.mark.parametrize("kind", ["LR", "GBT"])
+def test_models_are_kept_and_read_back(spark, frame, tmp_path, kind):
+    rows = signal(frame)
+    search = (
+        models.logistic_search(400, strengths=[1.0], penalties=["l2"], iterations=[50])
+        if kind == "LR" else models.tree_search([3], [0.1], [20], [3], rounds=models.ALL)
+    )
+    made = []
+
+    def make():
+        made.append(models.fit(rows, search, folds=2))
+        return made[0]
+
+    store, blocks = models.ModelStore(spark, str(tmp_path)), {"tabular": ["a", "b"], "image": ["c", "d"]}
+    for _ in range(2):
+        kept = store.fit_or_load("one", make, blocks)
+        assert scored(kept, rows) == pytest.approx(scored(made[0].model, rows))
+    assert len(made) == 1
+    table = store.coefficients("one").collect()
+    assert len(table) == (5 if kind == "LR" else 4) and list(store.block_coefficients("one")) == ["image", "tabular"]
+    if kind == "LR":
+        assert store.block_coefficients("one")["image"] == pytest.approx(made[0].model.coefficients.toArray()[2:])
+        assert [r["coefficient"] for r in table if r["block"] == ""] == pytest.approx([made[0].model.intercept])
+    assert {r["setting"] for r in store.settings("one").collect()} >= {"maxIter", "auroc"}
+
+
+def test_classifier_queries_take_the_whole_grid_and_fused_features(spark, monkeypatch, tmp_path):
     from stayloom.driver import QUERIES
 
     seen = []
 
     def fit(training, search, *rest, **options):
         seen.append((len(search.grid), training.select("vector").first()[0].size))
-        return search.estimator.copy({search.estimator.maxIter: 1}).fit(training)
+        one = search.estimator.fit(training, {search.estimator.maxIter: 1})
+        return models.Found(one, search.paths[0].settings, 0.5)
 
     monkeypatch.setattr(models, "fit", fit)
-    for name in ("lr_predict", "gbt_predict"):
+    monkeypatch.setattr("stayloom.driver.features._store", lambda v: models.ModelStore(spark, str(tmp_path)))
+    for name in ("lr_predict", "gbt_predict", "lr_predict_range", "gbt_predict_range", "lr_contribution"):
         got = QUERIES[name](spark, "/root/testdata/sf0.001")
-        assert got.columns == ["stay_id", "y_true", "y_prob"] and got.count() > 0
+        assert got.count() > 0
+        if "range" not in name and "contribution" not in name:
+            assert got.columns == ["stay_id", "y_true", "y_prob"]
     grids = len(models.logistic_search(1).grid), len(models.tree_search().grid)
     assert seen == [(grids[0], 77), (grids[1], 77)] and grids == (27, 54)
 
