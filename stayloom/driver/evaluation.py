@@ -18,8 +18,8 @@ def _cells(source: str, by: str) -> str:
         FROM {source} GROUP BY {keys}y_prob"""
 
 
-def _statistics(source: str, by: str = "", digits: int = 6) -> str:
-    """All five statistics per group from the rows of `source`."""
+def _statistics(source: str, by: str = "", digits: int = 6, cells: str | None = None) -> str:
+    """All five statistics per group from the rows of `source`, or from its `cells`."""
     keys = f"{by}, " if by else ""
     part = f"PARTITION BY {by}" if by else ""
     group = f"GROUP BY {by}" if by else ""
@@ -35,7 +35,7 @@ def _statistics(source: str, by: str = "", digits: int = 6) -> str:
               FROM (SELECT *, coalesce(sum(neg) OVER ({part} ORDER BY y_prob ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
                            CAST(sum(pos) OVER ({part} ORDER BY y_prob DESC) AS DOUBLE) AS top_pos,
                            CAST(sum(neg) OVER ({part} ORDER BY y_prob DESC) AS DOUBLE) AS top_neg
-                    FROM ({_cells(source, by)})) {group})"""
+                    FROM ({cells or _cells(source, by)})) {group})"""
 
 
 @query("auroc", f"SELECT auroc FROM ({_statistics('predictions')})", ["predictions"])
@@ -86,14 +86,19 @@ def _bootstrap(source: str, by: str) -> str:
     shown = ", ".join(f"v.{k.strip()}" for k in by.split(","))
     values = " UNION ALL ".join(f"SELECT {keys}'{m}' AS metric, {m} AS value FROM whole" for m in NAMES)
     drawn = " UNION ALL ".join(f"SELECT {keys}'{m}' AS metric, {m} AS value FROM per_draw" for m in NAMES)
+    numbers = ", ".join(
+        f"CAST(('0x' || substr(md5('0:{name}:' || r), 1, 7)) AS BIGINT) AS {name}" for name in ("factor", "summand", "shift")
+    )
+    times = " + ".join(f"(u >= {bound})::INT" for bound in metrics.poisson_bounds())
     return f"""
-        WITH keyed AS (SELECT stay_id, row_number() OVER (ORDER BY stay_id) AS position FROM (SELECT DISTINCT stay_id FROM {source})),
-             size AS (SELECT count(*) AS n FROM keyed),
-             draws AS (SELECT i // n AS replicate, CAST(('0x' || substr(md5('0:' || i), 1, 15)) AS BIGINT) % n + 1 AS position
-                       FROM size, unnest(range({REPLICATES} * n)) AS t(i)),
-             sampled AS (SELECT p.*, d.replicate FROM draws d JOIN keyed k ON d.position = k.position
-                         JOIN {source} p ON k.stay_id = p.stay_id),
-             per_draw AS ({_statistics("sampled", keys + "replicate", 15)}),
+        WITH turns AS (SELECT r AS replicate, {numbers} FROM unnest(range({REPLICATES})) AS t(r)),
+             mixed AS (SELECT p.*, replicate, shift, (CAST(('0x' || substr(md5(CAST(stay_id AS VARCHAR)), 1, 7)) AS BIGINT) * factor + summand)
+                              % {metrics.PRIME} AS m FROM {source} p, turns),
+             sampled AS (SELECT *, {times} AS times FROM (SELECT *, m * (m + shift) % {metrics.PRIME} AS u FROM mixed)),
+             cells AS (SELECT {keys}replicate, y_prob, sum(CASE WHEN y_true = 1 THEN times ELSE 0 END) AS pos,
+                              sum(CASE WHEN y_true = 0 THEN times ELSE 0 END) AS neg
+                       FROM sampled WHERE times > 0 GROUP BY {keys}replicate, y_prob),
+             per_draw AS ({_statistics("", keys + "replicate", 15, "SELECT * FROM cells")}),
              whole AS ({_statistics(source, by, 15)}),
              spread AS (SELECT {keys}metric, quantile_cont(value, 0.025) AS lower, quantile_cont(value, 0.975) AS upper
                         FROM ({drawn}) WHERE value IS NOT NULL GROUP BY {keys}metric)

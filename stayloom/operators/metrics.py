@@ -6,6 +6,8 @@ positives and negatives per score, so equal scores are added up before anything
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stayloom.functions.values import quoted
 from stayloom.operators.features import md5_number
-from stayloom.operators.ordered import cut_points, positions, running_sum
+from stayloom.operators.ordered import cut_points, running_sum
 
 POS, NEG = "pos", "neg"
 
@@ -103,11 +105,47 @@ def performance(
     return values.select(*by, *[F.round(m, digits).alias(m) for m in METRICS])
 
 
-def bootstrap_draws(n_rows: int, replicates: int, spark, seed: int = 0) -> DataFrame:
-    """(replicate, position): for each replicate `n_rows` row numbers drawn with replacement."""
-    draws = spark.range(replicates * n_rows)
-    drawn = md5_number(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), digits=15) % n_rows
-    return draws.select(F.floor(F.col("id") / n_rows).alias("replicate"), (drawn + 1).alias("position"))
+PRIME = 2**31 - 1
+
+
+def draw_parameters(replicates: int, seed: int = 0) -> list[list[int]]:
+    """Three numbers of each replicate, from md5: a factor, a summand and a shift below 2^28."""
+    return [
+        [int(hashlib.md5(f"{seed}:{name}:{r}".encode()).hexdigest()[:7], 16) for r in range(replicates)]
+        for name in ("factor", "summand", "shift")
+    ]
+
+
+def poisson_bounds() -> list[int]:
+    """Where a number drawn from 0 to PRIME - 1 becomes 1, 2, … under the Poisson distribution of mean 1."""
+    out, below, term, k = [], 0.0, math.exp(-1), 0
+    while round(PRIME * (below + term)) < PRIME:
+        below, k = below + term, k + 1
+        term /= k
+        out.append(round(PRIME * below))
+    return out
+
+
+def with_draws(rows: DataFrame, key: str, replicates: int, seed: int = 0) -> DataFrame:
+    """Each row once for every replicate that draws it, with `replicate` and `times`.
+
+    How often a replicate draws a row is Poisson of mean 1 by a hash of the row's key and the replicate,
+    so rows are drawn where they are, without a join; replicates have as many rows as there are on average.
+    Rows of one key are drawn together.  The hash is a square modulo a prime of a product with the key's md5.
+    """
+    factors, summands, shifts = (
+        F.split(F.lit(" ".join(map(str, values))), " ").cast("array<bigint>") for values in draw_parameters(replicates, seed)
+    )
+    kept = [quoted(c) for c in rows.columns]
+    prime = F.lit(PRIME).cast("bigint")
+    hashed = rows.select(*kept, md5_number(F.coalesce(quoted(key).cast("string"), F.lit(""))).alias("_hash"))
+    each = hashed.select(*kept, "_hash", F.posexplode(factors).alias("replicate", "_factor"))
+    mixed = each.select(
+        *kept, "replicate", ((F.col("_hash") * F.col("_factor") + summands[F.col("replicate")]) % prime).alias("_mixed")
+    )
+    drawn = mixed.select(*kept, "replicate", (F.col("_mixed") * (F.col("_mixed") + shifts[F.col("replicate")]) % prime).alias("_drawn"))
+    times = sum(((F.col("_drawn") >= F.lit(bound)).cast("int") for bound in poisson_bounds()), F.lit(0))
+    return drawn.where(F.col("_drawn") >= poisson_bounds()[0]).select(*kept, "replicate", times.alias("times"))
 
 
 def bootstrap(
@@ -122,17 +160,15 @@ def bootstrap(
 ) -> DataFrame:
     """(by, metric, value, lower, upper): each statistic with its bootstrap interval.
 
-    Rows are numbered in key order and drawn by number with a seeded hash; all groups of `by`
-    must cover the same keys and share the draws.  Draws are added up per (replicate, score)
-    before they are ordered.  Replicates with one class only have no areas and are left out there.
+    Draws depend on key, replicate and seed alone, so all groups of `by` share them.  They are added up
+    per (replicate, score) in the tasks that make them, before anything is ordered.  Replicates with one
+    class only have no areas and are left out there.
     """
     rows = predictions.select(*by, key, "y_true", "y_prob")
     cuts = cut_points(rows, "y_prob")
-    keys = rows.select(key).distinct()
-    numbered = with_sides(rows.join(positions(keys, key, cuts=cut_points(rows, key)), key))
-    draws = bootstrap_draws(keys.count(), replicates, predictions.sparkSession, seed)
-    cells = draws.join(numbered, "position").groupBy(*by, "replicate", "y_prob").agg(
-        F.sum(POS).alias(POS), F.sum(NEG).alias(NEG)
+    drawn = with_draws(with_sides(rows), key, replicates, seed)
+    cells = drawn.groupBy(*by, "replicate", "y_prob").agg(
+        *[F.sum(F.col(side) * F.col("times")).alias(side) for side in (POS, NEG)]
     )
     per_draw = _statistics(cells, [*by, "replicate"], cuts, threshold)
     values = _statistics(with_sides(rows), by, cuts, threshold)

@@ -1,9 +1,11 @@
 """Statistics against brute force and by hand."""
 
+import math
 import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from stayloom.operators import metrics
 
@@ -80,11 +82,38 @@ def test_bootstrap_skips_one_class_draws(frame):
     assert got["tpr"] == (0.0, 1.0)
 
 
-def test_bootstrap_draws_are_whole(spark):
-    draws = metrics.bootstrap_draws(50, 6, spark).collect()
-    assert len(draws) == 300
-    assert {d["replicate"] for d in draws} == set(range(6))
-    assert all(1 <= d["position"] <= 50 for d in draws)
+def test_draws_are_poisson_and_unrelated(spark):
+    """Per replicate and per row: mean and variance 1; replicates of one row, rows of one replicate uncorrelated."""
+    table = [[0] * 200 for _ in range(400)]
+    for r in metrics.with_draws(spark.range(400).withColumnRenamed("id", "stay_id"), "stay_id", 200, 3).collect():
+        table[r["stay_id"]][r["replicate"]] = r["times"]
+    flat = [x for row in table for x in row]
+    mean = sum(flat) / len(flat)
+    assert abs(mean - 1) < 0.02 and abs(sum((x - mean) ** 2 for x in flat) / len(flat) - 1) < 0.04
+    assert abs(flat.count(0) / len(flat) - math.exp(-1)) < 0.01 and abs(flat.count(3) / len(flat) - math.exp(-1) / 6) < 0.005
+    sums = [sum(column) for column in zip(*table, strict=True)]
+    spread = sum((s - 400 * mean) ** 2 for s in sums) / len(sums)
+    assert 280 < spread < 540  # 400 if rows are drawn independently
+    per_row = [sum(row) for row in table]
+    assert 140 < sum((s - 200 * mean) ** 2 for s in per_row) / len(per_row) < 270
+
+
+def test_bootstrap_equals_statistics_of_repeated_rows(frame):
+    df = frame(PRED, draw(60, 8))
+    drawn = metrics.with_draws(df, "stay_id", 12, 5).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    each = metrics.performance(drawn, ["replicate"], digits=12).collect()
+    got = {r["metric"]: (r["lower"], r["upper"]) for r in metrics.bootstrap(df, replicates=12, seed=5, digits=9).collect()}
+    for name in metrics.METRICS:
+        values = sorted(r[name] for r in each if r[name] is not None)
+        for share, value in zip((0.025, 0.975), got[name], strict=True):
+            at = share * (len(values) - 1)
+            low = values[int(at)]
+            assert value == pytest.approx(low + (values[min(int(at) + 1, len(values) - 1)] - low) * (at - int(at)), abs=1e-8)
+
+
+def test_draws_need_no_join(frame):
+    plan = metrics.with_draws(frame(PRED, draw(20, 1)), "stay_id", 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 def test_performance_table_text(frame):
@@ -131,10 +160,10 @@ def test_bootstrap_queries_draw_as_often_as_the_operator(spark, monkeypatch):
     from stayloom.driver import ORACLES, QUERIES
     from stayloom.operators import metrics as operators
 
-    seen, draws = [], operators.bootstrap_draws
-    monkeypatch.setattr(operators, "bootstrap_draws", lambda n, replicates, *rest: seen.append(replicates) or draws(n, replicates, *rest))
+    seen, draws = [], operators.with_draws
+    monkeypatch.setattr(operators, "with_draws", lambda rows, key, replicates, *rest: seen.append(replicates) or draws(rows, key, replicates, *rest))
     default = inspect.signature(operators.bootstrap).parameters["replicates"].default
     for name in ("bootstrap_ci", "perf_table"):
         QUERIES[name](spark, "/root/testdata/sf0.001")
-        assert f"range({default} * n)" in ORACLES[name]
+        assert f"range({default})" in ORACLES[name]
     assert seen == [default, default] and default == 1000
