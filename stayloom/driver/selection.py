@@ -9,14 +9,16 @@ from stayloom.driver.linkage import (
     IMAGE_INDEX,
     IMAGE_INDEX_VIEWS,
     discharge_link,
+    image_link,
     index,
     radiology_link,
 )
 from stayloom.driver.registry import query
 from stayloom.driver.views import Views
 from stayloom.functions.values import band
-from stayloom.operators import checks, cohort, notes, outcomes, windows
+from stayloom.operators import checks, cohort, images, notes, outcomes, windows
 from stayloom.operators.joins import restrict
+from stayloom.operators.linkage import IMAGE
 
 BASE_COLUMNS = [
     "subject_id", "hadm_id", "stay_id", "admission_type", "admission_location", "discharge_location",
@@ -74,7 +76,10 @@ def discharge(v: Views):
 
 
 def presence(v: Views):
-    return cohort.modality_presence(v.windows, v.series, index(v), discharge(v), radiology(v))
+    """Counted from the images in their windows: paths and findings add no row."""
+    taken = v.timed_metadata.select(*IMAGE, "StudyDatetime")
+    found = images.images_in_windows(taken, image_link(v), v.windows)
+    return cohort.modality_presence(v.windows, v.series, found, discharge(v), radiology(v))
 
 
 RADIOLOGY = """

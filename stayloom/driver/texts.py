@@ -41,6 +41,9 @@ def _(v: Views):
     )
 
 
+WHOLE = 10**12  # texts in a part: one part
+
+
 def _joined(size: int, piece: str, separator: str) -> str:
     return f"""
         WITH seen AS (SELECT stay_id, text, min(charttime) AS charttime, arg_min(note_id, (charttime, note_id)) AS note_id
@@ -51,20 +54,32 @@ def _joined(size: int, piece: str, separator: str) -> str:
         FROM numbered GROUP BY stay_id, part"""
 
 
-@query("notes_sep_join", _joined(notes.PART, "text", " [SEP] "), ["stay_notes"])
+@query("notes_sep_join", _joined(WHOLE, "text", " [SEP] "), ["stay_notes"])
 def _(v: Views):
     return notes.joined_texts(v["stay_notes"])
 
 
 @query("notes_sep_join_parts", _joined(2, "text", " [SEP] "), ["stay_notes"])
 def _(v: Views):
-    """The same in parts of two texts, as a stay with very many notes would get."""
+    """The same in parts of two texts."""
     return notes.joined_texts(v["stay_notes"], part_size=2)
 
 
+@query(
+    "notes_long",
+    """SELECT stay_id, row_number() OVER (PARTITION BY stay_id ORDER BY charttime, note_id) AS position, charttime, note_id, text
+       FROM (SELECT stay_id, text, min(charttime) AS charttime, arg_min(note_id, (charttime, note_id)) AS note_id
+             FROM stay_notes GROUP BY stay_id, text)""",
+    ["stay_notes"],
+)
+def _(v: Views):
+    """The distinct texts of each stay as numbered rows, which holds for stays of any size."""
+    return notes.numbered_notes(v["stay_notes"])
+
+
 @query(
     "notes_numbered",
-    _joined(notes.PART, r"replace('Report ' || position || ':' || chr(10) || text, chr(10), ' ')", ""),
+    _joined(WHOLE, r"replace('Report ' || position || ':' || chr(10) || text, chr(10), ' ')", ""),
     ["stay_notes"],
 )
 def _(v: Views):

@@ -8,28 +8,24 @@ from pyspark.sql import functions as F
 from stayloom.config import TrainingConfig
 
 
-def rows_per_stay(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy("stay_id").agg(F.count(F.lit(1)).alias(name))
-
-
 def modality_presence(
     windows: DataFrame, series: DataFrame, images: DataFrame, discharge: DataFrame, radiology: DataFrame
 ) -> DataFrame:
     """Rows per stay in each modality, 0 where there are none.
 
-    A note whose detail list comes in several parts counts once.
+    All tables are one table of (stay, marker) and added up together, so that stays are shuffled once
+    and a stay with very many rows sends one sum per task.
     """
-    if "detail_part" in radiology.columns:
-        radiology = radiology.where("detail_part = 0")
-    counts = windows.select("stay_id")
-    for df, name in (
-        (series, "n_ts"), (images, "n_img"), (discharge, "_n_discharge"), (radiology, "_n_radiology")
-    ):
-        counts = counts.join(rows_per_stay(df, name), "stay_id", "left")
-    counts = counts.fillna(0)
-    return counts.select(
-        "stay_id", "n_ts", "n_img", (F.col("_n_discharge") + F.col("_n_radiology")).alias("n_text")
-    )
+    names = ["_stays", "n_ts", "n_img", "n_text"]
+
+    def marked(df: DataFrame, name: str) -> DataFrame:
+        return df.select("stay_id", *[F.lit(int(n == name)).cast("bigint").alias(n) for n in names])
+
+    together = marked(windows, "_stays")
+    for df, name in ((series, "n_ts"), (images, "n_img"), (discharge, "n_text"), (radiology, "n_text")):
+        together = together.unionByName(marked(df, name))
+    counts = together.groupBy("stay_id").agg(*[F.sum(n).alias(n) for n in names])
+    return counts.where("_stays > 0").drop("_stays")
 
 
 def included_stays(windows: DataFrame, presence: DataFrame, config: TrainingConfig) -> DataFrame:
@@ -54,14 +50,9 @@ def cohort_counts(windows: DataFrame, included: DataFrame) -> DataFrame:
 
 
 def fan_out_audit(tables: dict[str, tuple[DataFrame, str]], n_stays: int) -> DataFrame:
-    """Rows, distinct keys and rows per stay of each table; more rows than keys points at a fan-out.
-
-    Further parts of a note whose details are split are no fan-out and not counted.
-    """
+    """Rows, distinct keys and rows per stay of each table; more rows than keys points at a fan-out."""
     audits = []
     for name, (df, key) in tables.items():
-        if "detail_part" in df.columns:
-            df = df.where("detail_part = 0")
         audits.append(
             df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys")).select(
                 F.lit(name).alias("table_name"),

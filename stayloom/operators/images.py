@@ -24,6 +24,13 @@ def images_of_stays(metadata: DataFrame, image_link: DataFrame) -> DataFrame:
     return joined.select("stay_id", *[quoted(c) for c in metadata.columns])
 
 
+def images_in_windows(metadata: DataFrame, image_link: DataFrame, windows: DataFrame) -> DataFrame:
+    """Images of stays taken inside the window of their stay."""
+    return in_window(
+        images_of_stays(metadata, image_link), windows, ["stay_id"], "StudyDatetime", ["stay_id", *metadata.columns]
+    )
+
+
 def image_index(
     metadata: DataFrame,
     image_link: DataFrame,
@@ -37,10 +44,7 @@ def image_index(
 
     The labelers share their column names, so each one's findings carry its name as prefix.
     """
-    images = in_window(
-        images_of_stays(metadata, image_link), windows, ["stay_id"], "StudyDatetime",
-        ["stay_id", *metadata.columns],
-    )
+    images = images_in_windows(metadata, image_link, windows)
     index = images.join(image_paths.select(*IMAGE, F.col("path").alias("image_path")), IMAGE, "left")
     index = index.join(report_paths.select(*STUDY, F.col("path").alias("text_path")), STUDY, "left")
     added = ["image_path", "text_path"]

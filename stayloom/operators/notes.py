@@ -1,9 +1,12 @@
 """Notes of a stay: detail fields, windowing and texts gathered per stay.
 
-Whatever is gathered into one value (a list, a text) is gathered in parts of at most PART
-members, numbered from 0 in order.  Nearly every note or stay has part 0 only; one that owns a
-large share of the data has many, and no task ever holds more than one part.  Joining the parts
-of a text with its separator gives the whole text.
+Texts and fields of a key are first a long table with their positions, which is a result of its own
+and holds for keys of any size.  Gathering them into one value per key is a second step; one row
+then has to hold the value.  `part_size` cuts such values into parts of so many members, numbered from 0;
+without it there is one part.
+
+Texts are told apart by their SHA-256.  They are ordered and numbered by keys alone; a text joins its
+number at the end, once.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from stayloom.functions.values import quoted
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.windows import in_window
 
-PART = 2_000
 TEXTS_PER_SLICE = 20_000  # rows that carry long texts
 DETAIL = ["field_name", "field_value", "field_ordinal"]
 NOTE = ["subject_id", "hadm_id", "note_id"]
@@ -31,12 +33,18 @@ def gather_text(
     text: str | Column,
     separator: str,
     name: str,
-    part_size: int = PART,
+    part_size: int | None = None,
     cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """(key, part, name): the texts of a key joined in order; `text` may use `position`, 1, 2, …"""
+    return join_pieces(positions(pieces, order, [key], ties, cuts=cuts), key, text, separator, name, part_size)
+
+
+def join_pieces(
+    numbered: DataFrame, key: str, text: str | Column, separator: str, name: str, part_size: int | None = None
+) -> DataFrame:
+    """(key, part, name): the numbered texts of a key joined in order."""
     text = F.col(text) if isinstance(text, str) else text
-    numbered = positions(pieces, order, [key], ties, cuts=cuts)
     return _in_parts(numbered, [key], text.alias("value"), part_size).select(
         key,
         F.col("_part").cast("int").alias("part"),
@@ -44,32 +52,51 @@ def gather_text(
     )
 
 
-def _in_parts(numbered: DataFrame, by: Sequence[str], member: Column, part_size: int, *others: Column) -> DataFrame:
-    part = F.floor((F.col("position") - 1) / part_size)
+def _in_parts(numbered: DataFrame, by: Sequence[str], member: Column, part_size: int | None) -> DataFrame:
+    part = F.floor((F.col("position") - 1) / part_size) if part_size else F.lit(0)
     return numbered.groupBy(*by, part.alias("_part")).agg(
-        *others, F.array_sort(F.collect_list(F.struct("position", member))).alias("_members")
+        F.array_sort(F.collect_list(F.struct("position", member))).alias("_members")
     )
 
 
-def detail_lists(notes: DataFrame, part_size: int = PART) -> DataFrame:
-    """Collapse note × detail rows to one row per note with an ordered list of its fields.
+def _versions(notes: DataFrame) -> DataFrame:
+    """Notes with a hash of all their columns that are not details."""
+    carried = [c for c in notes.columns if c not in DETAIL and c != "note_id"]
+    shown = F.concat_ws("\x1f", *[F.coalesce(quoted(c).cast("string"), F.lit("\x1e")) for c in carried])
+    return notes.withColumn("_version", F.unhex(F.sha2(shown, 256)))
+
+
+def detail_rows(notes: DataFrame) -> DataFrame:
+    """(note_id, _version, position and the detail columns): the fields of each note in order.
 
     Fields are ordered by ordinal, unnumbered ones last.  A field name may repeat in a note.
     """
-    others = [c for c in notes.columns if c not in DETAIL]
-    carried = [c for c in others if c != "note_id"]
-    rows = notes.withColumn("_version", F.xxhash64(*[quoted(c) for c in carried]))
-    by = ["note_id", "_version"]
-    numbered = positions(
-        rows, "field_ordinal", by, ["field_name", "field_value"], cuts=cut_points(notes, "field_ordinal", TEXTS_PER_SLICE)
+    rows = _versions(notes).select("note_id", "_version", *DETAIL)
+    return positions(
+        rows, "field_ordinal", ["note_id", "_version"], ["field_name", "field_value"],
+        cuts=cut_points(notes, "field_ordinal", TEXTS_PER_SLICE),
     )
+
+
+def detail_lists(notes: DataFrame, part_size: int | None = None) -> DataFrame:
+    """Collapse note × detail rows to one row per note with an ordered list of its fields.
+
+    A note's own columns, its text among them, are no part of the rows that are ordered.
+    """
+    others = [c for c in notes.columns if c not in DETAIL]
     field = F.struct(
         F.col("field_name").alias("name"),
         F.col("field_value").alias("value"),
         F.col("field_ordinal").alias("ordinal"),
     ).alias("field")
-    lists = _in_parts(numbered, by, field, part_size, *[F.first(quoted(c)).alias(c) for c in carried])
-    return lists.select(
+    by = ["note_id", "_version"]
+    lists = _in_parts(detail_rows(notes), by, field, part_size)
+    headers = _versions(notes.select(*[quoted(c) for c in others])).groupBy(*by).agg(
+        *[F.first(quoted(c)).alias(c) for c in others if c != "note_id"]
+    )
+    listed = lists.withColumnsRenamed({"note_id": "_note", "_version": "_of"})
+    same = F.col("note_id").eqNullSafe(F.col("_note")) & (F.col("_version") == F.col("_of"))
+    return headers.join(listed, same).select(
         *[quoted(c) for c in others],
         F.col("_part").cast("int").alias("detail_part"),
         F.transform("_members", lambda m: m["field"]).alias("detail_fields"),
@@ -96,28 +123,44 @@ def radiology_notes(notes: DataFrame, link: DataFrame, windows: DataFrame) -> Da
     )
 
 
-def distinct_texts(notes: DataFrame, key: str = "stay_id") -> DataFrame:
-    """Each text of a stay once, at its first appearance."""
+def text_id(text: str = "text") -> Column:
+    return F.unhex(F.sha2(F.col(text), 256))
+
+
+def first_appearances(notes: DataFrame, key: str = "stay_id", by: Sequence[str] = ()) -> DataFrame:
+    """(key, by, text_id, charttime, note_id): where each text of a key stands first; `by` may hold charttime."""
     seen = F.min(F.struct("charttime", "note_id")).alias("_first")
-    return notes.groupBy(key, "text").agg(seen).select(
-        key, "text", F.col("_first.charttime").alias("charttime"), F.col("_first.note_id").alias("note_id")
+    named = notes.select(key, "charttime", "note_id", text_id().alias("text_id"))
+    return named.groupBy(key, *by, "text_id").agg(seen).select(
+        key, "text_id", F.col("_first.charttime").alias("charttime"), F.col("_first.note_id").alias("note_id")
     )
 
 
-def joined_texts(notes: DataFrame, key: str = "stay_id", separator: str = " [SEP] ", part_size: int = PART) -> DataFrame:
-    """The distinct texts of each stay with a separator between them."""
-    return gather_text(
-        distinct_texts(notes, key), key, "charttime", ["note_id"], "text", separator, "text",
-        part_size, cut_points(notes, "charttime", TEXTS_PER_SLICE),
+def numbered_notes(notes: DataFrame, key: str = "stay_id", by: Sequence[str] = ()) -> DataFrame:
+    """(key, position, charttime, note_id, text): the distinct texts of each key in order of appearance.
+
+    With `by` = charttime a text counts once for each of its times.
+    """
+    numbered = positions(
+        first_appearances(notes, key, by), "charttime", [key], ["note_id", "text_id"],
+        cuts=cut_points(notes, "charttime", TEXTS_PER_SLICE),
     )
+    texts = notes.withColumn("text_id", text_id()).groupBy(key, "text_id").agg(F.first("text").alias("text"))
+    named = texts.withColumnsRenamed({key: "_key", "text_id": "_text"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("text_id").eqNullSafe(F.col("_text"))
+    return numbered.join(named, same).select(key, "position", "charttime", "note_id", "text")
 
 
-def numbered_texts(notes: DataFrame, key: str = "stay_id", part_size: int = PART) -> DataFrame:
+def joined_texts(
+    notes: DataFrame, key: str = "stay_id", separator: str = " [SEP] ", part_size: int | None = None
+) -> DataFrame:
+    """The distinct texts of each stay with a separator between them."""
+    return join_pieces(numbered_notes(notes, key), key, "text", separator, "text", part_size)
+
+
+def numbered_texts(notes: DataFrame, key: str = "stay_id", part_size: int | None = None) -> DataFrame:
     """The distinct texts of each stay as numbered reports, line breaks turned into spaces."""
     report = F.translate(
         F.concat(F.lit("Report "), F.col("position").cast("string"), F.lit(":\n"), F.col("text")), "\n", " "
     )
-    return gather_text(
-        distinct_texts(notes, key), key, "charttime", ["note_id"], report, "", "text",
-        part_size, cut_points(notes, "charttime", TEXTS_PER_SLICE),
-    )
+    return join_pieces(numbered_notes(notes, key), key, report, "", "text", part_size)

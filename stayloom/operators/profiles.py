@@ -11,7 +11,7 @@ from stayloom.config import OUTCOME_QUESTIONS
 from stayloom.functions.times import hours_between
 from stayloom.functions.values import file_name, image_path, number_text, quoted
 from stayloom.operators.images import latest_image
-from stayloom.operators.notes import PART, TEXTS_PER_SLICE, gather_text
+from stayloom.operators.notes import TEXTS_PER_SLICE, gather_text, join_pieces, numbered_notes
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.timeseries import last_hours
 from stayloom.session import settle
@@ -113,7 +113,7 @@ def _vital_row(columns: list[str]) -> Column:
     return F.concat(*pieces)
 
 
-def vital_block(series: DataFrame, hours: float = 2, key: str = "stay_id", part_size: int = PART) -> DataFrame:
+def vital_block(series: DataFrame, hours: float = 2, key: str = "stay_id", part_size: int | None = None) -> DataFrame:
     """(key, part, vital_signs): the rows of the last `hours` hours of each stay."""
     rows = last_hours(series, hours, key).select(
         key, "charttime", _vital_row(series.columns).alias("line")
@@ -130,42 +130,29 @@ def image_block(images: DataFrame, key: str = "stay_id") -> DataFrame:
     return images.select(key).distinct().withColumn("images", F.lit(IMAGE_BLOCK))
 
 
-def report_block(notes: DataFrame, stays: DataFrame, key: str = "stay_id", part_size: int = PART) -> DataFrame:
+def report_block(notes: DataFrame, stays: DataFrame, key: str = "stay_id", part_size: int | None = None) -> DataFrame:
     """(key, part, reports): each (time, text) of a stay once, with its hours since ICU admission."""
     admitted = stays.select(key, "intime")
     elapsed = F.round(hours_between("intime", "charttime"), 2)
-    lines = (
-        notes.groupBy(key, "charttime", "text")
-        .agg(F.min("note_id").alias("note_id"))
-        .join(admitted, key)
-        .select(
-            key, "charttime", "note_id",
-            F.concat(
-                F.lit(REPORT_TIME[0]), number_text(elapsed), F.lit(REPORT_TIME[1]),
-                F.lit(REPORT_TEXT[0]), F.col("text"), F.lit(REPORT_TEXT[1]),
-            ).alias("line"),
-        )
-    )
-    block = gather_text(
-        lines, key, "charttime", ["note_id"], "line", "", "reports", part_size,
-        cut_points(notes, "charttime", TEXTS_PER_SLICE),
+    line = F.concat(
+        F.lit(REPORT_TIME[0]), number_text(elapsed), F.lit(REPORT_TIME[1]),
+        F.lit(REPORT_TEXT[0]), F.col("text"), F.lit(REPORT_TEXT[1]),
     )
+    lines = numbered_notes(notes, key, ["charttime"]).join(admitted, key)
+    block = join_pieces(lines, key, line, "", "reports", part_size)
     head = F.when(F.col("part") == 0, F.lit(REPORT_HEAD)).otherwise(F.lit(""))
     return block.withColumn("reports", F.concat(head, F.col("reports")))
 
 
 def patient_profiles(
     tabular: DataFrame, series: DataFrame, images: DataFrame, radiology: DataFrame, key: str = "stay_id",
-    part_size: int = PART,
+    part_size: int | None = None,
 ) -> DataFrame:
     """(key, part, last, context): the blocks a stay has, one after the other.
 
-    Parts count 0, 1, … for every stay; a new one begins with each piece beyond a block's first, so
-    a stay whose blocks are of one piece each has part 0 only.  Joined in `part` order without
-    separator they give the profile, `last` marks the end.
+    Without `part_size` every stay has part 0 only.  With it a new part begins with each piece beyond a
+    block's first; joined in `part` order without separator they give the profile, `last` marks the end.
     """
-    if "detail_part" in radiology.columns:
-        radiology = radiology.where("detail_part = 0")
 
     def block(df: DataFrame, number: int, text: str) -> DataFrame:
         piece = F.col("part") if "part" in df.columns else F.lit(0)

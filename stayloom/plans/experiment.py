@@ -87,9 +87,7 @@ def sequences(
 
 
 def note_texts(radiology: DataFrame, numbered: bool = False) -> DataFrame:
-    """One text per stay (in parts) from its radiology notes, as input of a text encoder."""
-    if "detail_part" in radiology.columns:
-        radiology = radiology.where("detail_part = 0")
+    """One text per stay from its radiology notes, as input of a text encoder."""
     return notes.numbered_texts(radiology) if numbered else notes.joined_texts(radiology)
 
 

@@ -109,3 +109,28 @@ def test_image_index_prefixes_labelers(frame):
     )
     assert got.columns[4:] == ["StudyDatetime", "image_path", "text_path", "chexpert_Lung Lesion", "negbio_Lung Lesion"]
     assert rows(got.drop("StudyDatetime")) == [(100, 1, 5, "d", "p.dcm", None, 1.0, None)]
+
+
+def test_more_than_two_thousand_texts_and_fields_stay_whole(frame):
+    texts = frame(NOTE, [(1, f"n{i:05d}", at("2150-01-01"), f"text {i}") for i in range(2_500)])
+    got = notes.joined_texts(texts).collect()
+    assert [(r["part"], r["text"].count("[SEP]")) for r in got] == [(0, 2_499)]
+    fields = frame("note_id string, text string, field_name string, field_value string, field_ordinal int",
+                   [("a", "t", "f", str(i), i) for i in range(2_500)] + [("a", "u", "g", "x", 1), (None, None, "h", None, 2)])
+    assert sorted((r["text"] or "", len(r["detail_fields"])) for r in notes.detail_lists(fields).collect()) == [("", 1), ("t", 2_500), ("u", 1)]
+
+
+def test_a_text_counts_once_for_each_time_if_asked(frame):
+    df = frame(NOTE, [(1, "b", at("2150-01-02"), "x"), (1, "a", at("2150-01-01"), "x"), (1, "c", at("2150-01-02"), "x"), (None, "d", at("2150-01-03"), "y")])
+    assert rows(notes.numbered_notes(df), "stay_id", "position", "note_id") == [(1, 1, "a"), (None, 1, "d")]
+    assert rows(notes.numbered_notes(df, by=["charttime"]), "stay_id", "position", "note_id") == [(1, 1, "a"), (1, 2, "b"), (None, 1, "d")]
+
+
+def test_no_text_in_a_shuffle_key(frame):
+    """Neither grouping nor joining nor ordering deals rows by their text."""
+    import re
+
+    df = frame(NOTE, [(i % 5, f"n{i}", at("2150-01-01"), f"text {i}") for i in range(40)])
+    plan = notes.joined_texts(df)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange (?:hash|range)partitioning\(([^)]*)", plan)
+    assert dealt and not any(re.search(r"\btext#", keys) for keys in dealt)

@@ -98,7 +98,7 @@ def test_cohort(frame):
     df = frame(STAY, [stay(1, age=18), stay(2, age=17), stay(3, age=90), stay(4, los=0.5), stay(5)])
     counts = frame("stay_id long", [(1,), (3,), (3,)])
     nothing = frame("stay_id long", [])
-    radiology = frame("stay_id long, detail_part int", [(3, 0), (3, 1)])
+    radiology = frame("stay_id long", [(3,), (9,)])
     presence = cohort.modality_presence(df, counts, nothing, nothing, radiology)
     assert rows(presence) == [(1, 1, 0, 0), (2, 0, 0, 0), (3, 2, 0, 1), (4, 0, 0, 0), (5, 0, 0, 0)]
     config = TrainingConfig(age_lower=18, age_upper=90, los_lower=1)
