@@ -97,6 +97,28 @@ def _(v: Views):
     return encoded.unpivot(["stay_id"], [F.col(f"`{c}`") for c in names], "feature", "value")
 
 
+SPARSE = ["subject_id", "insurance", "race"]
+
+
+@query(
+    "one_hot_sparse",
+    f"""WITH people AS (SELECT stay_id, CAST(subject_id AS VARCHAR) AS subject_id, insurance, race FROM ({DEMOGRAPHICS})),
+             levels AS ({" UNION ALL ".join(f"SELECT {i} AS c, {c} AS level, count(*) AS n FROM people WHERE {NUMBER} < 700 GROUP BY {c}" for i, c in enumerate(SPARSE))}),
+             kept AS (SELECT c, level, row_number() OVER (ORDER BY c, level) - 1 AS position FROM
+                 (SELECT *, row_number() OVER (PARTITION BY c ORDER BY n, level) AS r FROM levels) WHERE r > 1),
+             own AS ({" UNION ALL ".join(f"SELECT stay_id, {i} AS c, {c} AS level FROM people" for i, c in enumerate(SPARSE))})
+        SELECT stay_id, coalesce(string_agg(CAST(position AS VARCHAR), ' ' ORDER BY position), '') AS indices
+        FROM own LEFT JOIN kept USING (c, level) GROUP BY stay_id""",
+    ["base"],
+)
+def _(v: Views):
+    """Positions of each stay's categories, with every subject a category: the dictionary is a table."""
+    people = demographics(v)
+    levels = features.fit_levels(people.where(is_train()), SPARSE)
+    found = features.sparse_one_hot(people, levels, SPARSE)
+    return found.select("stay_id", F.array_join(F.col("indices").cast("array<string>"), " ").alias("indices"))
+
+
 @query("hash_split", f"SELECT stay_id, {SPLIT} AS split FROM icustays", ["icustays"])
 def _(v: Views):
     return v["icustays"].select("stay_id", features.split_of("stay_id").alias("split"))

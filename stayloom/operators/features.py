@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from stayloom.config import MISSING_MARITAL_STATUS, MODALITY_MIXES
 from stayloom.functions.values import quoted, regroup
-
-MAX_LEVELS = 1000
-
+from stayloom.operators.ordered import positions
+from stayloom.session import settle
 
 def md5_number(value: Column, digits: int = 7) -> Column:
     """A non-negative number from the first hex digits of the value's md5."""
@@ -82,21 +81,51 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def least_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(variable, level, count) of the rarest level of each column; the first name among equals."""
+    return least_frequent_of(level_counts(df, columns))
+
+
+def least_frequent_of(counts: DataFrame) -> DataFrame:
+    """`least_frequent` of counted levels."""
     rarest = F.min(F.struct("count", "level")).alias("_rarest")
-    return level_counts(df, columns).groupBy("variable").agg(rarest).select(
+    return counts.groupBy("variable").agg(rarest).select(
         "variable", F.col("_rarest.level").alias("level"), F.col("_rarest.count").alias("count")
     )
 
 
-def fit_one_hot(train: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Levels of each column in the training rows without the rarest, which needs no column."""
-    counts = level_counts(train, columns).limit(max_levels + 1).collect()
-    if len(counts) > max_levels:
-        raise ValueError(f"more than {max_levels} levels in {', '.join(columns)}")
-    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
-    for row in counts:
-        found[row["variable"]].append((row["count"], row["level"]))
-    return {c: sorted(level for _, level in sorted(levels)[1:]) for c, levels in found.items()}
+def fit_levels(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(variable, level, position): the levels of the training rows without each column's rarest.
+
+    A dictionary of any size is a table; positions count from 0 by column and then level.
+    """
+    counts = settle(level_counts(train, columns))
+    kept = counts.join(least_frequent_of(counts).select("variable", "level"), ["variable", "level"], "left_anti")
+    numbers = F.create_map(*[F.lit(x) for pair in zip(columns, range(len(columns)), strict=True) for x in pair])
+    ordered = kept.select("variable", "level", numbers[F.col("variable")].alias("_column"))
+    placed = positions(ordered, "_column", ties=["level"])
+    return placed.select("variable", "level", (F.col("position") - 1).alias("position"))
+
+
+def sparse_one_hot(df: DataFrame, levels: DataFrame, columns: Sequence[str], key: str = "stay_id") -> DataFrame:
+    """(key, indices): the positions that are 1, rising; a level not seen in training has none.
+
+    Each row sends one small row a column to the dictionary and gets its positions back.
+    """
+    texts = df.select(quoted(key), *[quoted(c).cast("string").alias(c) for c in columns])
+    own = texts.unpivot([quoted(key)], [quoted(c) for c in columns], "variable", "level")
+    found = own.join(levels, ["variable", "level"], "left")
+    return found.groupBy(key).agg(F.array_sort(F.collect_set("position")).alias("indices"))
+
+
+def fit_one_hot(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Levels of each column in the training rows without the rarest, which needs no column.
+
+    They become columns, so they have to be as many as a table's columns can be; `fit_levels` and
+    `sparse_one_hot` are for more.
+    """
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in fit_levels(train, columns).orderBy("position").toLocalIterator():
+        found[row["variable"]].append(row["level"])
+    return found
 
 
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:

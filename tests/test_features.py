@@ -46,12 +46,6 @@ def test_constant_column_is_divided_by_one(frame):
     assert features.fit_scaler(df, ["x"]) == {"x": (3.0, 1.0)}
 
 
-def test_too_many_levels_is_an_error(frame):
-    df = frame("c string", [(str(i),) for i in range(20)])
-    with pytest.raises(ValueError):
-        features.fit_one_hot(df, ["c"], max_levels=10)
-
-
 def test_split_shares(spark):
     df = spark.range(20000).select(features.split_of("id").alias("s"), features.fold_of("id").alias("f"))
     shares = {r["s"]: r["count"] / 20000 for r in df.groupBy("s").count().collect()}
@@ -215,3 +209,16 @@ def test_logistic_optimum(spark):
     assert abs(sum(errors)) / 300 < 1e-3
     for k in (0, 1):
         assert abs(sum(e * x[k] for e, (_, _, x) in zip(errors, data)) / 300 + w[k] / 300) < 1e-3
+
+
+def test_more_than_a_thousand_levels(frame):
+    people = frame("stay_id long, ward string, bed string", [(i, f"w{i % 1500:04d}", "x" if i % 3 else None) for i in range(3200)])
+    levels = features.fit_levels(people, ["ward", "bed"])
+    table = {(r["variable"], r["level"]): r["position"] for r in levels.collect()}
+    # The rarest ward, w0200, and the only bed have no position.
+    assert len(table) == 1499 and ("ward", "w0200") not in table and sorted(table.values()) == list(range(1499))
+    assert [level for (_, level), _ in sorted(table.items(), key=lambda x: x[1])] == sorted(level for _, level in table)
+    new = frame("stay_id long, ward string, bed string", [(1, "w0007", "x"), (2, "w0200", None), (3, "none", "y"), (4, None, None)])
+    got = rows(features.sparse_one_hot(new, levels, ["ward", "bed"]), "stay_id", "indices")
+    assert got == [(1, [7]), (2, []), (3, []), (4, [])]
+    assert len(features.fit_one_hot(people, ["ward"])["ward"]) == 1499
