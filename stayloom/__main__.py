@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stayloom.config import AGE_CUTOFFS, MODALITY_MIXES, TABULAR_VARIABLES, VITAL_SIGNS, TrainingConfig
 from stayloom.operators import features, metrics, profiles
 from stayloom.operators.models import ModelStore
-from stayloom.plans import experiment, master, training
+from stayloom.plans import experiment, master, stays, training
 from stayloom.session import build_session, intermediate
 from stayloom.sources.folders import require
 from stayloom.sources.sinks import read_matrix, read_records, write_csv, write_matrix, write_records
@@ -17,7 +17,7 @@ from stayloom.sources.sinks import read_matrix, read_records, write_csv, write_m
 
 def run_master(spark, a) -> None:
     sources = master.register_sources(
-        spark, a.hosp_path, a.icu_path, a.cxr_path, a.cxr_jpg_path, a.note_path
+        spark, a.hosp_path, a.icu_path, a.cxr_path, a.cxr_jpg_path, a.note_path, a.ingest_path
     )
     done = master.export_master(
         spark, sources, a.output_dir, a.overwrite, a.rebuild_list_ids, a.debug_limit,
@@ -27,6 +27,11 @@ def run_master(spark, a) -> None:
         print(f"{name}: {'written' if wrote else 'kept'}")
 
 
+def run_stays(spark, a) -> None:
+    for name, groups in stays.export_stays(spark, a.input_dir, a.output_dir, a.groups, a.batch).items():
+        print(f"{name}: {len(groups)} of {a.groups} groups written")
+
+
 def run_training(spark, a) -> None:
     config = TrainingConfig(
         a.age_lower, a.age_upper, a.los_lower, a.drop_missing_ts, a.drop_missing_img, a.drop_missing_text,
@@ -142,12 +147,18 @@ def parser() -> argparse.ArgumentParser:
     c = command("master", run_master, "link stays, images and notes; write the master tables")
     for folder in ("hosp", "icu", "cxr", "cxr-jpg", "note"):
         c.add_argument(f"--{folder}-path", required=True)
+    c.add_argument("--ingest-path")
     c.add_argument("--list-ids-path")
     c.add_argument("--cxr-datetime-path")
     c.add_argument("--rebuild-list-ids", action="store_true")
     c.add_argument("--overwrite", action="store_true")
     c.add_argument("--debug-limit", type=int)
 
+    c = command("stays", run_stays, "the master tables by stay, in resumable groups")
+    c.add_argument("--input-dir", required=True)
+    c.add_argument("--groups", type=int, default=256)
+    c.add_argument("--batch", type=int, default=32)
+
     c = command("training", run_training, "window, pivot, label and select; write the training tables")
     c.add_argument("--input-dir", required=True)
     c.add_argument("--age-lower", type=int, default=0)

@@ -11,7 +11,8 @@ from stayloom.driver.registry import query
 from stayloom.driver.views import Views
 from stayloom.session import shared_folder
 from stayloom.sources import sinks
-from stayloom.sources.folders import read_csv
+from stayloom.sources.folders import read_csv, require
+from stayloom.sources.ingest import ingest_csv
 
 
 def place(v: Views) -> str:
@@ -74,6 +75,77 @@ def _(v: Views):
     return v.spark.read.parquet(path).select("stay_id", "o_orderstatus", F.col("stay_group").cast("int").alias("stay_group"))
 
 
+@query(
+    "csv_ingest",
+    """SELECT l_orderkey, l_linenumber, lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS part_code, l_extendedprice,
+              CASE WHEN l_linenumber <> 3 THEN l_shipdate END AS ship_time, l_returnflag,
+              CASE WHEN l_orderkey % 1000 = 7 THEN 'n/a' ELSE CAST(l_suppkey AS VARCHAR) END AS mixed,
+              CAST(l_orderkey AS BIGINT) AS hadm_id FROM lineitem""",
+)
+def _(v: Views):
+    """A compressed CSV file read once; columns without a declared type get the one all their values have."""
+    path, target = f"{place(v)}.csv.gz", place(v)
+    rows = v["lineitem"].select(
+        "l_orderkey", "l_linenumber", F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("part_code"), "l_extendedprice",
+        F.when(F.col("l_linenumber") != 3, F.col("l_shipdate")).alias("ship_time"), "l_returnflag",
+        F.when(F.col("l_orderkey") % 1000 == 7, "n/a").otherwise(F.col("l_suppkey").cast("string")).alias("mixed"),
+        F.col("l_orderkey").alias("hadm_id"),
+    )
+    rows.write.options(header=True, quote='"', escape='"', compression="gzip", timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path)
+    first, again = (ingest_csv(v.spark, path, target) for _ in range(2))
+    assert first.wrote and not again.wrote
+    data = again.data
+    return data.withColumn("l_linenumber", F.col("l_linenumber").cast(v["lineitem"].schema["l_linenumber"].dataType))
+
+
+@query("csv_round_trip", "SELECT doc_id, text, lang, n_chars FROM documents")
+def _(v: Views):
+    """A table written as CSV and read back: texts with quotes and line breaks."""
+    path, rows = place(v), v["documents"].select("doc_id", "text", "lang", "n_chars")
+    sinks.write_csv(rows, path)
+    return sinks.read_written_csv(v.spark, path, "doc_id bigint, text string, lang string, n_chars bigint")
+
+
+@query(
+    "stay_groups_resume",
+    """SELECT o_orderkey AS stay_id, o_totalprice, CASE WHEN o_orderkey % 16 < 8 THEN 'first' ELSE 'second' END AS run FROM orders""",
+)
+def _(v: Views):
+    """A run that breaks off after two of four batches of stay groups; the next computes the others alone."""
+    path, stays = place(v), v["orders"].select(F.col("o_orderkey").alias("stay_id"))
+    prices = v["orders"].select(F.col("o_orderkey").alias("stay_id"), "o_totalprice")
+    begun = []
+
+    def make(run: str, breaks_at: int):
+        def rows(some):
+            begun.append(run)
+            if len(begun) == breaks_at:
+                raise InterruptedError(run)
+            return prices.join(some, "stay_id", "left_semi").withColumn("run", F.lit(run))
+
+        return rows
+
+    try:
+        sinks.write_missing_groups(stays, make("first", 3), path, groups=16, batch=4)
+    except InterruptedError:
+        pass
+    assert sinks.write_missing_groups(stays, make("second", 0), path, groups=16, batch=4) == list(range(8, 16))
+    return v.spark.read.parquet(path).select("stay_id", "o_totalprice", "run")
+
+
+@query("required_tables", "SELECT o_orderkey, 'orders' AS found, 'expected tables not found: nowhere' AS said FROM orders")
+def _(v: Views):
+    """What a step needs of the one before: written tables are read, a missing one is named."""
+    path = place(v)
+    sinks.write_table(v["orders"], f"{path}/orders.parquet")
+    try:
+        require(v.spark, path, ["orders", "nowhere"])
+        said = ""
+    except FileNotFoundError as error:
+        said = str(error).replace(f" in {path}", "")
+    return require(v.spark, path, ["orders"])["orders"].select("o_orderkey", F.lit("orders").alias("found"), F.lit(said).alias("said"))
+
+
 @query("export_descending", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM orders")
 def _(v: Views):
     """A table exported from the greatest key down: no row of its files, in name order, exceeds the one before."""

@@ -9,11 +9,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayloom.functions.times import coerce_datetimes
 from stayloom.operators import linkage
 from stayloom.operators.joins import look_up, restrict, with_details
 from stayloom.operators.linkage import ADMISSION, IMAGE, STAY
 from stayloom.session import tune
 from stayloom.sources.folders import is_written, scan_folder
+from stayloom.sources.ingest import ingest_folder
 from stayloom.sources.sinks import write_table, written
 
 GRAINS = {"subject": ["subject_id"], "hadm": ADMISSION, "stay": STAY}
@@ -80,12 +82,19 @@ def source_ending(sources: Mapping[str, DataFrame], ending: str) -> DataFrame:
 
 
 def register_sources(
-    spark: SparkSession, hosp: str, icu: str, cxr: str, cxr_jpg: str, note: str
+    spark: SparkSession, hosp: str, icu: str, cxr: str, cxr_jpg: str, note: str, ingested: str | None = None
 ) -> dict[str, DataFrame]:
-    """All tables of the five source folders; date columns are cast except in the image folders."""
+    """All tables of the five source folders; date columns are cast except in the image folders.
+
+    With `ingested`, CSV tables are turned into typed parquet tables in that folder once and read from there.
+    """
     sources: dict[str, DataFrame] = {}
     for folder, cast in ((hosp, True), (icu, True), (cxr, False), (cxr_jpg, False), (note, True)):
-        sources.update(scan_folder(spark, folder, cast))
+        if ingested is None:
+            sources.update(scan_folder(spark, folder, cast))
+        else:
+            tables = ingest_folder(spark, folder, ingested)
+            sources.update({n: coerce_datetimes(df) if cast else df for n, df in tables.items()})
     return sources
 
 

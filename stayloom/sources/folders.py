@@ -6,6 +6,7 @@ import csv
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from stayloom.functions.times import coerce_datetimes
 from stayloom.sources.schemas import MULTI_LINE_TABLES, csv_schema
@@ -43,17 +44,31 @@ def table_paths(spark: SparkSession, folder: str) -> dict[str, str]:
     return found
 
 
+_CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    return next(csv.reader([spark.read.text(path).first()["value"]]))
+
+
+def read_csv_texts(spark: SparkSession, path: str, header: list[str], multi_line: bool = False) -> DataFrame:
+    """A CSV file with header, quote and escape pinned to `"`, every column as text."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    return _spread(spark.read.options(**_CSV_OPTIONS, multiLine=multi_line).csv(path, schema=schema), path)
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A CSV file with header, quote and escape pinned to `"` and declared column types.
 
-    A gzip file is one task whatever its size, so its rows are spread before further work.
+    Columns without a declared type are text; `ingest` finds their types.
     """
-    options = {"header": True, "quote": '"', "escape": '"'}
-    header = next(csv.reader([spark.read.text(path).first()["value"]]))
-    df = spark.read.options(**options, multiLine=multi_line, mode="PERMISSIVE").csv(
-        path, schema=csv_schema(header)
-    )
-    return df.repartition(spark.sparkContext.defaultParallelism) if path.endswith(".gz") else df
+    schema = csv_schema(header_of(spark, path))
+    return _spread(spark.read.options(**_CSV_OPTIONS, multiLine=multi_line).csv(path, schema=schema), path)
+
+
+def _spread(df: DataFrame, path: str) -> DataFrame:
+    """A gzip file is one task whatever its size, so its rows are spread before further work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if path.endswith(".gz") else df
 
 
 def read_table(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:

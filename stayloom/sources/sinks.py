@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +52,41 @@ def write_by_stay(df: DataFrame, path: str, groups: int = 256) -> None:
     )
 
 
+def finished_groups(spark: SparkSession, path: str) -> set[int]:
+    """The stay groups that were written to the end, at most as many numbers as there are groups."""
+    place = f"{path}/_finished"
+    if not is_written(spark, place):
+        return set()
+    return {r["stay_group"] for r in spark.read.parquet(place).select("stay_group").distinct().collect()}
+
+
+def write_missing_groups(
+    stays: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, groups: int = 256, batch: int = 32
+) -> list[int]:
+    """Make and write the stay groups that are not finished, `batch` groups at a time; returns their numbers.
+
+    `make` gets the stays of a batch and returns rows with their stay_id, so that only what is missing is
+    computed.  A batch counts as finished when its rows and after them its numbers are written: a run
+    that ends before begins again with that batch and replaces what it left.  Groups without rows count too.
+    """
+    spark = stays.sparkSession
+    missing = sorted(set(range(groups)) - finished_groups(spark, path))
+    own = F.pmod("stay_id", F.lit(groups)).cast("int")
+    for first in range(0, len(missing), batch):
+        turn = missing[first : first + batch]
+        write_by_stay(make(stays.where(own.isin(turn))), path, groups)
+        done = spark.createDataFrame([(g,) for g in turn], "stay_group int").coalesce(1)
+        done.write.mode("append").parquet(f"{path}/_finished")
+    return missing
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+def read_written_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What `write_csv` wrote, with the types of `schema`."""
+    return spark.read.options(header=True, quote='"', escape='"', multiLine=True).schema(schema).csv(path)
 
 
 def write_matrix(df: DataFrame, path: str, columns: Sequence[str], key: str = "stay_id") -> None:

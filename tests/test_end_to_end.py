@@ -9,8 +9,8 @@ from stayloom.__main__ import main
 from stayloom.config import FINDINGS, VITAL_SIGNS
 from stayloom.operators import features
 from stayloom.operators.models import ModelStore, logistic_search
-from stayloom.plans import experiment, master, training
-from stayloom.sources import folders, sinks
+from stayloom.plans import experiment, master, stays, training
+from stayloom.sources import folders, ingest, sinks
 
 
 @pytest.fixture(scope="module")
@@ -172,3 +172,53 @@ def test_questions_through_the_command_line(spark, world, tmp_path):
     prompts = spark.read.json(f"{tmp_path}/prompts")
     assert prompts.count() == clinic.STAYS
     assert prompts.where("prompt LIKE '%exceed three days?%'").count() == clinic.STAYS
+
+
+def test_ingested_sources_give_the_same_master_tables(spark, world, tmp_path):
+    output = str(tmp_path / "master")
+    main(["master", *world[2], "--output-dir", output, "--ingest-path", str(tmp_path / "parquet")])
+    for name in ("admissions", "chartevents", "dsnotes", "radnotes", "cxr_metadata", "diagnoses_icd", "list_ids"):
+        a, b = spark.read.parquet(f"{output}/{name}.parquet"), read(spark, world, "master", name)
+        assert a.count() == b.count() and a.columns == b.columns
+    assert spark.read.parquet(f"{output}/diagnoses_icd.parquet").first()["icd_code"] == "0071"
+    assert dict(spark.read.parquet(f"{output}/admissions.parquet").dtypes)["edregtime"] == "timestamp_ntz"
+
+
+def test_types_are_found_over_all_rows(spark, tmp_path):
+    lines = ["a,b,c,d,e,f,g,itemid", *[f"{i},{i}.5,0{i},2150-01-0{i % 9 + 1},,x{i},{i},{i}" for i in range(400)]]
+    lines += ['-7,1e3,"0,1",2150-01-01 10:11:12,,"say ""a""",2.0,oops']
+    path = tmp_path / "t.csv"
+    path.write_text("\n".join(lines) + "\n")
+    found = ingest.ingest_csv(spark, str(path), str(tmp_path / "t.parquet"))
+    assert found.types == {"a": "bigint", "b": "double", "c": "string", "d": "timestamp_ntz", "e": "string", "f": "string", "g": "double", "itemid": "bigint"}
+    last = found.data.where("a = -7").first()
+    assert (last["b"], last["c"], last["f"], last["g"], last["itemid"]) == (1000.0, "0,1", 'say "a"', 2.0, None)
+    assert found.wrote and not ingest.ingest_csv(spark, str(path), str(tmp_path / "t.parquet")).wrote
+
+
+def test_a_broken_run_by_stay_goes_on_with_what_is_missing(spark, world, tmp_path, monkeypatch):
+    """One table breaks off in its second batch; the next run writes the groups that lack, and the store is whole."""
+    folder, whole, part = f"{world[0]}/master", str(tmp_path / "whole"), str(tmp_path / "part")
+    main(["stays", "--input-dir", folder, "--output-dir", whole, "--groups", "4", "--batch", "4"])
+    calls, real = [], sinks.write_by_stay
+
+    def breaks(df, path, groups):
+        calls.append(path)
+        if sum(p.endswith("/chartevents") for p in calls) == 2:
+            raise InterruptedError
+        real(df, path, groups)
+
+    monkeypatch.setattr(sinks, "write_by_stay", breaks)
+    with pytest.raises(InterruptedError):
+        stays.export_stays(spark, folder, part, groups=4, batch=2)
+    monkeypatch.setattr(sinks, "write_by_stay", real)
+    done = stays.export_stays(spark, folder, part, groups=4, batch=2)
+    assert done["chartevents"] == [2, 3] and [] in done.values() and [0, 1, 2, 3] in done.values()
+    for name in done:
+        a, b = (spark.read.parquet(f"{place}/{name}") for place in (whole, part))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0, name
+    assert stays.export_stays(spark, folder, part, groups=4, batch=2) == dict.fromkeys(done, [])
+    one = read(spark, world, "master", "icustays").first()
+    tables = stays.read_stay(spark, whole, one["stay_id"], groups=4)
+    assert tables["icustays"].count() == 1 and tables["patients"].first()["subject_id"] == one["subject_id"]
+    assert {r["stay_id"] for r in tables["chartevents"].select("stay_id").collect()} <= {one["stay_id"]}
