@@ -227,7 +227,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--records", required=True)
     c.add_argument("--outcome", default="hospital_expire_flag")
     c.add_argument("--style", choices=sorted(profiles.PROMPT_STYLES), default="plain")
-    c.add_argument("--system", choices=sorted(profiles.SYSTEM_TEXTS))
+    c.add_argument("--system", help=f"{', '.join(sorted(profiles.SYSTEM_TEXTS))}, or a text of your own")
     return top
 
 

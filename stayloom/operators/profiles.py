@@ -211,7 +211,8 @@ def qa_records(
 def prompts(records: DataFrame, outcome: str, style: str = "plain", system: str | None = None) -> DataFrame:
     """(id, part, system, prompt, image_file): the text put to a model about one outcome.
 
-    The opening goes on the first part of a record and the question on its last one.
+    The opening goes on the first part of a record and the question on its last one.  `system` is the name
+    of one of SYSTEM_TEXTS or a text of one's own.
     """
     between, closing = PROMPT_STYLES[style]
     opening = F.when(F.col("part") == 0, F.lit(PROMPT_HEAD)).otherwise(F.lit(""))
@@ -221,7 +222,7 @@ def prompts(records: DataFrame, outcome: str, style: str = "plain", system: str
     return records.select(
         "id",
         "part",
-        F.lit(SYSTEM_TEXTS[system] if system else None).cast("string").alias("system"),
+        F.lit(SYSTEM_TEXTS.get(system, system) if system else None).cast("string").alias("system"),
         F.concat(opening, F.col("context"), ending).alias("prompt"),
         file_name("image").alias("image_file"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayloom.functions.times import hours_between
@@ -212,6 +212,43 @@ def bin_vectors(
 
     A stay has at most `n_bins` rows to gather.  With `method` its gaps are filled from its own bins.
     """
+    if method == "forward":
+        filled = _carried_bins(means, variables, n_bins)
+    else:
+        filled = _dense_bins(means, variables, n_bins, method)
+    # Stays without rows join last: there is nothing to work out for them.
+    nothing = F.array_repeat(F.lit(None).cast("double"), n_bins * len(variables))
+    return stays.select("stay_id").distinct().join(filled, "stay_id", "left").select(
+        "stay_id", F.coalesce("values", nothing).alias("values")
+    )
+
+
+def _carried_bins(means: DataFrame, variables: Sequence[str], n_bins: int) -> DataFrame:
+    """(stay_id, values) with the last value before each gap, or the first one after it.
+
+    Values are carried from row to row; a row then stands for all bins up to the next one.
+    """
+    here = Window.partitionBy("stay_id").orderBy("time_bin")
+    up_to = here.rowsBetween(Window.unboundedPreceding, 0)
+    whole = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = [
+        F.coalesce(F.last(quoted(v), ignorenulls=True).over(up_to), F.first(quoted(v), ignorenulls=True).over(whole)).alias(f"v{i}")
+        for i, v in enumerate(variables)
+    ]
+    begin = F.when(F.row_number().over(here) == 1, F.lit(0)).otherwise(F.col("time_bin"))
+    span = F.coalesce(F.lead("time_bin").over(here), F.lit(n_bins)) - begin
+    rows = means.select("stay_id", "time_bin", span.alias("span"), *carried)
+    members = F.struct("time_bin", "span", *[f"v{i}" for i in range(len(variables))])
+    gathered = rows.groupBy("stay_id").agg(F.array_sort(F.collect_list(members)).alias("rows"))
+
+    def column(i: int) -> Column:
+        return F.flatten(F.transform("rows", lambda r: F.array_repeat(r[f"v{i}"], r["span"])))
+
+    return gathered.select("stay_id", F.concat(*[column(i) for i in range(len(variables))]).alias("values"))
+
+
+def _dense_bins(means: DataFrame, variables: Sequence[str], n_bins: int, method: str | None) -> DataFrame:
+    """(stay_id, values) with gaps filled by a value of the whole stay, or left."""
     row = F.struct(*[quoted(v).alias(f"v{i}") for i, v in enumerate(variables)])
     entries = F.collect_list(F.struct("time_bin", row.alias("row")))
     rows = means.groupBy("stay_id").agg(F.map_from_entries(entries).alias("rows"))
@@ -222,14 +259,181 @@ def bin_vectors(
         return F.transform("bins", lambda r: r[f"v{i}"])
 
     values = F.concat(*[_fill_array(column(i), method) for i in range(len(variables))])
+    return dense.select("stay_id", values.alias("values"))
+
+
+def _fill_array(values: Column, method: str | None) -> Column:
+    """Fill the NULLs of an array from its other elements."""
+    if method is None:
+        return values
+    known = F.filter(values, lambda x: x.isNotNull())
+    if method == "zero":
+        return {c: 0.0 for c in columns}
+    fitted = column_medians(df, columns) if method == "median" else column_means(df, columns)
+    return {r[0]: r[1] for r in fitted.collect()}
+
+
+def fill_with(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
+    """Put a fixed value per column into its gaps."""
+    return df.withColumns({c: F.coalesce(quoted(c), F.lit(v)) for c, v in values.items()})
+
+
+def stay_fill(df: DataFrame, columns: Sequence[str], method: str, key: str = "stay_id") -> DataFrame:
+    """Fill the gaps of each stay with the mean or median of its own present values."""
+    if method == "mean":
+        own = df.groupBy(key).agg(*[F.avg(quoted(c)).alias(f"_own_{c}") for c in columns])
+    else:
+        present = df.select(key, *[quoted(c).cast("double").alias(c) for c in columns]).unpivot(
+            [key], [quoted(c) for c in columns], "variable", "value"
+        )
+        medians = exact_quantiles(present, [key, "variable"], "value", {"median": 0.5})
+        own = medians.groupBy(key).agg(
+            *[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(f"_own_{c}") for c in columns]
+        )
+    return df.join(own, key, "left").select(
+        *[
+            F.coalesce(quoted(c), quoted(f"_own_{c}")).alias(c) if c in columns else quoted(c)
+            for c in df.columns
+        ]
+    )
+
+
+def impute(
+    df: DataFrame,
+    columns: Sequence[str],
+    method: str = "forward",
+    key: str | None = None,
+    order: str = "charttime",
+) -> DataFrame:
+    """Fill gaps: forward then backward, or with the mean, the median or zero.
+
+    With `key` the fill values come from the rows of the same key, without it from all rows.
+    """
+    if method not in ("forward", "mean", "median", "zero"):
+        raise ValueError(f"unknown imputation method {method!r}")
+    if method == "forward":
+        return fill_gaps(df, [key] if key else [], order, columns)
+    if method == "zero" or key is None:
+        return fill_with(df, fill_values(df, columns, method))
+    return stay_fill(df, columns, method, key)
+
+
+def preprocess(
+    series: DataFrame,
+    variables: Sequence[str],
+    total_length: float,
+    bounds: Mapping[str, Sequence[float]],
+    medians: Mapping[str, float],
+    method: str = "forward",
+) -> DataFrame:
+    """Clip, cut to `total_length` hours, note what was present, fill within the stay, then the medians."""
+    clean = clip_outliers(series, bounds).where(F.col("frac_charttime") < total_length)
+    marked = missing_mask(clean, variables)
+    return fill_with(impute(marked, variables, method, key="stay_id"), medians)
+
+
+def global_medians(
+    series: DataFrame, variables: Sequence[str], total_length: float, bounds: Mapping[str, Sequence[float]]
+) -> DataFrame:
+    """Median of each variable over all cleaned rows within `total_length` hours."""
+    clean = clip_outliers(series, bounds).where(F.col("frac_charttime") < total_length)
+    return column_medians(clean, variables)
+
+
+# --- fixed time bins ----------------------------------------------------------------------------
+
+
+def bin_count(total_length: int, bin_length: int) -> int:
+    if total_length % bin_length != 0:
+        raise ValueError(f"{total_length} hours do not divide into bins of {bin_length} hours")
+    return total_length // bin_length
+
+
+def bin_means(series: DataFrame, variables: Sequence[str], total_length: int, bin_length: int) -> DataFrame:
+    """Mean of each variable per stay and time bin, for the bins that have rows."""
+    bin_count(total_length, bin_length)
+    return (
+        series.where(F.col("frac_charttime") < total_length)
+        .withColumn("time_bin", F.floor(F.col("frac_charttime") / bin_length).cast("int"))
+        .groupBy("stay_id", "time_bin")
+        .agg(*[F.avg(quoted(v)).alias(v) for v in variables])
+    )
+
+
+def time_bins(
+    series: DataFrame, stays: DataFrame, variables: Sequence[str], total_length: int, bin_length: int
+) -> DataFrame:
+    """Mean of each variable per stay and time bin; every stay has every bin."""
+    means = bin_means(series, variables, total_length, bin_length)
+    last = F.lit(bin_count(total_length, bin_length) - 1)
+    grid = stays.select("stay_id").distinct().withColumn("time_bin", F.explode(F.sequence(F.lit(0), last)))
+    return grid.join(means, ["stay_id", "time_bin"], "left").select(
+        "stay_id", "time_bin", *[quoted(v) for v in variables]
+    )
+
+
+def flat_names(variables: Sequence[str], n_bins: int) -> list[str]:
+    """Names of the flattened bins, all bins of one variable together."""
+    return [f"{v}_{b}" for v in variables for b in range(n_bins)]
+
+
+def bin_vectors(
+    means: DataFrame, stays: DataFrame, variables: Sequence[str], n_bins: int, method: str | None = None
+) -> DataFrame:
+    """(stay_id, values): the bins of each stay as one array, all bins of one variable together.
+
+    A stay has at most `n_bins` rows to gather.  With `method` its gaps are filled from its own bins.
+    """
+    if method == "forward":
+        filled = _carried_bins(means, variables, n_bins)
+    else:
+        filled = _dense_bins(means, variables, n_bins, method)
     # Stays without rows join last: there is nothing to work out for them.
     nothing = F.array_repeat(F.lit(None).cast("double"), n_bins * len(variables))
-    filled = dense.select("stay_id", values.alias("values"))
     return stays.select("stay_id").distinct().join(filled, "stay_id", "left").select(
         "stay_id", F.coalesce("values", nothing).alias("values")
     )
 
 
+def _carried_bins(means: DataFrame, variables: Sequence[str], n_bins: int) -> DataFrame:
+    """(stay_id, values) with the last value before each gap, or the first one after it.
+
+    Values are carried from row to row; a row then stands for all bins up to the next one.
+    """
+    here = Window.partitionBy("stay_id").orderBy("time_bin")
+    up_to = here.rowsBetween(Window.unboundedPreceding, 0)
+    whole = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = [
+        F.coalesce(F.last(quoted(v), ignorenulls=True).over(up_to), F.first(quoted(v), ignorenulls=True).over(whole)).alias(f"v{i}")
+        for i, v in enumerate(variables)
+    ]
+    begin = F.when(F.row_number().over(here) == 1, F.lit(0)).otherwise(F.col("time_bin"))
+    span = F.coalesce(F.lead("time_bin").over(here), F.lit(n_bins)) - begin
+    rows = means.select("stay_id", "time_bin", span.alias("span"), *carried)
+    members = F.struct("time_bin", "span", *[f"v{i}" for i in range(len(variables))])
+    gathered = rows.groupBy("stay_id").agg(F.array_sort(F.collect_list(members)).alias("rows"))
+
+    def column(i: int) -> Column:
+        return F.flatten(F.transform("rows", lambda r: F.array_repeat(r[f"v{i}"], r["span"])))
+
+    return gathered.select("stay_id", F.concat(*[column(i) for i in range(len(variables))]).alias("values"))
+
+
+def _dense_bins(means: DataFrame, variables: Sequence[str], n_bins: int, method: str | None) -> DataFrame:
+    """(stay_id, values) with gaps filled by a value of the whole stay, or left."""
+    row = F.struct(*[quoted(v).alias(f"v{i}") for i, v in enumerate(variables)])
+    entries = F.collect_list(F.struct("time_bin", row.alias("row")))
+    rows = means.groupBy("stay_id").agg(F.map_from_entries(entries).alias("rows"))
+    bins = F.sequence(F.lit(0), F.lit(n_bins - 1))
+    dense = rows.select("stay_id", F.transform(bins, lambda b: F.try_element_at("rows", b)).alias("bins"))
+
+    def column(i: int) -> Column:
+        return F.transform("bins", lambda r: r[f"v{i}"])
+
+    values = F.concat(*[_fill_array(column(i), method) for i in range(len(variables))])
+    return dense.select("stay_id", values.alias("values"))
+
+
 def _fill_array(values: Column, method: str | None) -> Column:
     """Fill the NULLs of an array from its other elements."""
     if method is None:

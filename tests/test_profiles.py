@@ -115,6 +115,8 @@ def test_records_and_prompts(spark, tmp_path, tabular, series, images, reports):
         "Answer the question using only yes or no without any additional explanation"
     )
     assert other["image_file"] is None and other["system"] is None
+    assert profiles.prompts(back, "los_binary", system="Answer as a nurse.").first()["system"] == "Answer as a nurse."
+    assert profiles.prompts(back, "los_binary", system="physician").first()["system"] == profiles.SYSTEM_TEXTS["physician"]
 
 
 def test_prompt_of_a_record_in_parts(tabular, series, images, reports):
