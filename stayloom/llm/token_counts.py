@@ -59,6 +59,11 @@ def counted(docs: DataFrame, path: str, version: str) -> DataFrame:
     )
 
 
+def _standing(ledger: DataFrame) -> DataFrame:
+    sums = ledger.groupBy("doc_id", *_GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    return sums.where("n_docs != 0 OR n_tokens != 0")
+
+
 class Store:
     """The counts kept in one folder; batch ids are listed in the order of their first commit by the caller."""
 
@@ -82,9 +87,7 @@ class Store:
 
     def standing(self) -> DataFrame:
         """What the ledger now holds of each document."""
-        keys = ["doc_id", *_GROUP]
-        sums = self.read("ledger", _LEDGER).groupBy(*keys).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return sums.where("n_docs != 0 OR n_tokens != 0")
+        return _standing(self.read("ledger", _LEDGER))
 
     def commit(self, batch: str, counts: DataFrame | None = None, deleted: DataFrame | None = None) -> bool:
         """Apply one batch: counts of new or changed documents, ids of deleted ones. False if it was applied before."""
@@ -97,9 +100,10 @@ class Store:
                 changed = counts.select("doc_id", F.col("tokenizer").alias("only"))
                 gone = changed if gone is None else gone.unionByName(changed)
             if gone is not None:
-                held = self.standing()
-                hit = held.join(gone.distinct(), (held.doc_id == gone.doc_id) & (F.coalesce("only", "tokenizer") == held.tokenizer), "left_semi")
-                taken = hit.select("doc_id", *_GROUP, (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens"))
+                # The rows of the batch's documents are found first: only these are added up.
+                rows = self.read("ledger", _LEDGER)
+                same = (rows.doc_id == gone.doc_id) & (F.coalesce("only", "tokenizer") == rows.tokenizer)
+                taken = _standing(rows.join(gone.distinct(), same, "left_semi")).select("doc_id", *_GROUP, (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens"))
                 ledger = taken if ledger is None else taken.unionByName(ledger)
         if ledger is None:
             ledger = self.spark.createDataFrame([], _LEDGER)
@@ -114,9 +118,33 @@ class Store:
         return sums.where("n_docs != 0 OR n_tokens != 0")
 
 
+def history(docs: DataFrame, path: str, version: str) -> list[tuple[str, DataFrame | None, DataFrame | None]]:
+    """Batches (name, counts, deleted ids) that end with all of `docs` as they are, by shares of their ids.
+
+    First all documents are inserted, a quarter of them in a former state: the first half of the text, from
+    another source.  Then that quarter is revised, another quarter deleted, and what was deleted
+    inserted again.  Documents without an id take part in the first batch only.
+    """
+    share = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4, F.lit(3))
+    former = docs.withColumns({
+        "text": F.when(share == 0, F.expr("left(text, char_length(text) div 2)")).otherwise(F.col("text")),
+        "source": F.when(share == 0, F.concat_ws("/", F.lit("former"), "source")).otherwise(F.col("source")),
+    })
+    second, third = docs.where(share == 0), docs.where(share == 1)
+    return [
+        ("1 insert", counted(former, path, version), None),
+        ("2 revise", counted(second, path, version), None),
+        ("3 delete", None, third.select("doc_id")),
+        ("4 restore", counted(third, path, version), None),
+    ]
+
+
 def digest(docs: DataFrame, folder: str, path: str, version: str) -> DataFrame:
-    """Totals after all documents are inserted as one batch, which is then given again and not applied."""
-    store = Store(ready(docs.sparkSession), folder)
-    store.commit("insert", counted(docs, path, version))
-    store.commit("insert", counted(docs, path, version))
+    """Totals after a history of inserts, revisions and deletes; each batch is given twice and applied once."""
+    ready(docs.sparkSession)
+    store = Store(docs.sparkSession, folder)
+    for batch in history(docs.select("doc_id", "text", "source", "lang"), path, version):
+        store.commit(*batch)
+        if store.commit(*batch):
+            raise RuntimeError(f"batch {batch[0]} was applied twice")
     return store.totals()

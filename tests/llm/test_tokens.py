@@ -159,6 +159,22 @@ def test_token_counts(spark, tmp_path):
     assert store_rows(store) == want(left[:-1])
 
 
+def test_a_history_ends_with_the_counts_of_the_documents(spark, tmp_path):
+    """Every batch changes rows: a former state is taken back, deleted documents return."""
+    plain, docs = _PLAIN[BYTES], table(spark)
+    want = defaultdict(lambda: [0, 0])
+    for r in docs.collect():
+        cell = want[r["source"], r["lang"], "v"]
+        cell[0] += 1
+        cell[1] += len(plain.encode(r["text"] or "", add_special_tokens=False).ids)
+    got = token_counts.digest(docs, str(tmp_path / "store"), BYTES, "v").collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): [r["n_docs"], r["n_tokens"]] for r in got} == dict(want)
+    store, total = token_counts.Store(spark, str(tmp_path / "store")), docs.count()
+    assert len(store.committed()) == 4
+    moved = [spark.read.parquet(store.place("deltas", n)).agg(F.sum("n_docs"), F.sum("n_tokens")).first() for n in ("1 insert", "2 revise", "3 delete", "4 restore")]
+    assert [m[0] for m in moved][0] == total and moved[1][0] == 0 and moved[1][1] > 0 and moved[2][0] == -moved[3][0] < 0
+
+
 def test_token_counts_of_nothing(spark, tmp_path):
     store = token_counts.Store(spark, str(tmp_path / "none"))
     assert store.commit("x", token_counts.counted(empty(spark), BYTES, "v")) and store.totals().count() == 0
