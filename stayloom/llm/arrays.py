@@ -156,3 +156,9 @@ def stretches(values: np.ndarray, bounds: np.ndarray, length: int, gram: int) ->
 def lists(counts: np.ndarray, values: pa.Array) -> pa.Array:
     """A list column from the number of values of each row and the values of all rows in order."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All places of the ranges [start, end), one range after the other."""
+    many = end - start
+    return np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)

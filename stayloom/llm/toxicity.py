@@ -129,12 +129,6 @@ def choose(ids: np.ndarray, texts: pa.ChunkedArray, labels: np.ndarray) -> Examp
     return made
 
 
-def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """All places of the ranges [start, end), one range after the other."""
-    many = end - start
-    return np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
-
-
 class Index:
     """The commonest terms as a matrix, the others in inverted lists with blocks of examples.
 
@@ -210,7 +204,7 @@ class Index:
         own[at[at >= 0]] = weight[at >= 0]
         term, weight = term[at < 0], weight[at < 0]
         lo, hi = self.first[term], self.first[term + 1]
-        entry, factor = ranges(lo, hi), np.repeat(weight, hi - lo)
+        entry, factor = arrays.ranges(lo, hi), np.repeat(weight, hi - lo)
         block = self.block[entry]
         bound = np.maximum.reduceat(side, np.arange(0, len(side), BLOCK)) if len(side) else side
         bound = bound + np.bincount(block, weights=factor * self.most[entry], minlength=self.blocks)
@@ -230,7 +224,7 @@ class Index:
             scored = np.flatnonzero(np.repeat(part, BLOCK)[: len(side)])
             part = np.flatnonzero(part[block])
             a, z = self.begin[entry[part]], self.begin[entry[part] + 1]
-            at = ranges(a, z)
+            at = arrays.ranges(a, z)
             total = np.bincount(self.example[at], weights=np.repeat(factor[part], z - a) * self.impact[at], minlength=len(side))
             near = total[scored] + side[scored]
             keep = (near > 0) & (scored != without)

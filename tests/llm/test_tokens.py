@@ -51,11 +51,14 @@ def test_encode_and_decode(spark, path):
     assert bpe.encode(empty(spark), path).count() == 0
 
 
+@pytest.mark.parametrize("size", [0, 20, bpe.TABLE])  # none, some and all words in the table
 @pytest.mark.parametrize("path", [BYTES, WORDS])
-def test_digest(spark, path):
+def test_digest(spark, path, size):
     plain, docs = _PLAIN[path], table(spark, repeat=False)
     by_id = dict(enumerate(texts()))
-    for r in bpe.digest(docs, path).collect():
+    rows = bpe.digest(docs, path, size).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
         ids = plain.encode(by_id[r["doc_id"]] or "", add_special_tokens=False).ids
         decoded = plain.decode(ids, skip_special_tokens=False).encode()
         assert r["n_tokens"] == len(ids)
@@ -63,6 +66,22 @@ def test_digest(spark, path):
         assert r["decoded_sha256"] == hashlib.sha256(decoded).hexdigest()
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_the_table_has_each_distinct_word_once(spark, path):
+    docs = table(spark)
+    source = bpe.packed(docs).select("in_text")
+    rows = bpe.word_table(source, bpe.vocabulary(spark, path)).collect()
+    want = set()
+    for text in {r["text"] or "" for r in docs.collect()}:
+        data, offsets = block([text])
+        start, end, _ = _TABLES[path].units(data, offsets)
+        want |= {data.tobytes()[a:b] for a, b in zip(start, end)}
+    assert len(rows) == len({r["key"] for r in rows}) == len(want)
+    assert sorted(r["ids"] for r in rows) == sorted(_PLAIN[path].encode(w.decode(), add_special_tokens=False).ids for w in want)
+    few = bpe.word_table(source, bpe.vocabulary(spark, path), 7).collect()
+    assert len(few) == 7 and {tuple(r["ids"]) for r in few} <= {tuple(r["ids"]) for r in rows}
+
+
 @pytest.mark.parametrize("length", [16, 2048])
 def test_packing(spark, length):
     docs, plain = table(spark, repeat=False), _PLAIN[BYTES]
