@@ -145,3 +145,51 @@ def test_words_and_windows():
     assert np.diff(bounds).tolist() == [0, 3, 1, 0, 1]
     blocks = list(arrays.blocks(column, 3))
     assert b"".join(d.tobytes() for _, d, _ in blocks) == "".join(rows).encode() and [b[0] for b in blocks] == sorted({b[0] for b in blocks})
+
+
+def test_ftrl_equals_plain_loops():
+    """Follow-the-regularised-leader one number at a time, and the score as a sum over a text's features."""
+    import math
+
+    rng, q = np.random.default_rng(2), quality_classifier
+    words = ["alpha", "beta", "Gamma", "42", "x-y", "delta!"]
+    texts = [" ".join(rng.choice(words, size=rng.integers(0, 9))) for _ in range(60)]
+    labels = np.array([int(t.count("alpha") > 1) for t in texts])
+    column = pa.chunked_array([texts])
+    got, z, n, bias = q.learn(np.arange(60), column, labels), {}, {}, 1 << q.BITS
+
+    def weight(place):
+        own = z.get(place, 0.0)
+        if abs(own) <= q.L1:
+            return 0.0
+        return -(own - math.copysign(q.L1, own)) / ((q.BETA + math.sqrt(n.get(place, 0.0))) / q.ALPHA + q.L2)
+
+    rows = [{**dict(zip(p.tolist(), v.tolist())), bias: 1.0} for p, v in q.vectors(column)]
+    for epoch in range(q.EPOCHS):
+        for k in np.random.default_rng(epoch).permutation(60):
+            now = {p: weight(p) for p in rows[k]}
+            chance = 1 / (1 + math.exp(-sum(now[p] * v for p, v in rows[k].items())))
+            for p, v in rows[k].items():
+                step = (chance - labels[k]) * v
+                move = (math.sqrt(n.get(p, 0.0) + step**2) - math.sqrt(n.get(p, 0.0))) / q.ALPHA
+                z[p], n[p] = z.get(p, 0.0) + step - move * now[p], n.get(p, 0.0) + step**2
+    assert np.flatnonzero(got).tolist() == sorted(p for p in z if weight(p))
+    assert got[list(z)] == pytest.approx([weight(p) for p in z], rel=1e-5, abs=1e-7)
+
+    class Value:
+        value = got
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], ["rest", "in_text"])
+    scores = np.concatenate([b.column("score").to_numpy() for b in q.scored(Value)([batch])])
+    assert scores == pytest.approx([1 / (1 + math.exp(-sum(weight(p) * v for p, v in row.items()))) for row in rows], rel=1e-4)
+
+
+def test_no_documents_and_no_words(spark):
+    from pyspark.sql import functions as F
+
+    labels = spark.createDataFrame([(0, 1, 1), (1, 0, 0)], LABELS)
+    assert toxicity.toxicity(empty(spark), labels, F.lit(True)).count() == 0
+    assert toxicity.digest(empty(spark), labels).columns == ["doc_id", "held_out", "score", "predicted", "evidence"]
+    blank = spark.createDataFrame([(0, None), (1, ""), (2, " \n"), (None, "1 2 3")], "doc_id bigint, text string")
+    out = toxicity.toxicity(blank, labels, F.lit(True)).collect()
+    assert len(out) == 4 and len({r["score"] for r in out}) == 1 and 0 < out[0]["score"] < 1 and all(r["evidence"] == [] for r in out)
