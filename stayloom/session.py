@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +69,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def settled_tables() -> list[str]:
+    """The tables settled so far in this process, in order."""
+    return list(_settled)
+
+
+def drop_settled(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _settled:
+            _settled.remove(path)
+
+
 @contextmanager
 def intermediate(spark: SparkSession) -> Iterator[None]:
     """Delete the tables settled inside when the work that needed them has ended, well or not."""
@@ -76,7 +90,4 @@ def intermediate(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _settled[before:]:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        del _settled[before:]
+        drop_settled(spark, _settled[before:])
