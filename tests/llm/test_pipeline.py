@@ -77,3 +77,21 @@ def test_odd_documents(spark, tmp_path):
         spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         out = corpus_pipeline.run(spark, folder).collect()
         assert len({r["doc_id"] for r in out}) <= len({r[0] for r in some}) and bool(out) == bool(some)
+
+
+def test_a_stage_deletes_what_its_predecessor_settled(spark):
+    """Each result is whole after its predecessor's tables are gone, and runs don't disturb each other."""
+    from pathlib import Path
+
+    from stayloom.session import settled_tables
+
+    docs = documents(spark, DATA)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        known = set(settled_tables())
+        out = stage(spark, docs, DATA)
+        own = [p for p in settled_tables() if p not in known]
+        docs = settle(out)
+        last = [p.removeprefix("file:") for p in own]
+        assert docs.count() > 0 and (not last or all(Path(p).exists() for p in last))
+    first, second = corpus_pipeline.run(spark, DATA), corpus_pipeline.run(spark, DATA)
+    assert first.count() == second.count() == corpus_pipeline.run(spark, DATA).count()
