@@ -3,8 +3,8 @@
 * Splitting: blocks of documents are split into words; Spark counts the distinct ones, combined in each
   task first.
 * Table: each distinct word goes through the tokenizers library once, in tasks of their own.  The table
-  holds the commonest TABLE words with their ids, which is all of them unless the corpus has more; so its
-  size is bounded and it is broadcast.  Words beyond it, each of them rarer than all in it, are encoded where
+  holds the commonest words with their ids, TABLE at most, which is all of them unless the corpus has more; so
+  its size is bounded and it is broadcast.  Words beyond it, each of them rarer than all in it, are encoded where
   they stand and kept in a bounded table of the worker.
 * Joining: ids join the words of a block by position, as arrays.
 * Decoding: ids join a table of the vocabulary's pieces by position.
@@ -270,12 +270,21 @@ def listed(source: Broadcast) -> Callable:
 
 
 def word_table(source: DataFrame, tokenizer: Broadcast, size: int = TABLE) -> DataFrame:
-    """(key, ids) of the `size` commonest words of the texts in in_text, each encoded once."""
+    """(key, ids) of the commonest words of the texts in in_text, at most `size`, each encoded once.
+
+    Words of about the same number (a sixteenth of a doubling) are in the table together or not at all.
+    """
     found = source.select("in_text").mapInArrow(split(tokenizer), "key bigint, word string, many bigint")
     counted = settle(found.groupBy("key").agg(F.sum("many").alias("many"), F.first("word").alias("word")))
-    if counted.count() > size:
-        counted = counted.orderBy(F.desc("many"), "key").limit(size)
-    return counted.select("key", "word").mapInArrow(listed(tokenizer), "key bigint, ids array<int>")
+    number = F.floor(F.log2("many") * 16).cast("int")
+    groups = counted.groupBy(number.alias("number")).count().orderBy(F.desc("number")).collect()  # at most 16 * 63 rows
+    held, least = 0, 16 * 64
+    for r in groups:
+        held += r["count"]
+        if held > size:
+            break
+        least = r["number"]
+    return counted.where(number >= least).select("key", "word").mapInArrow(listed(tokenizer), "key bigint, ids array<int>")
 
 
 def known_words(source: DataFrame, tokenizer: Broadcast, size: int = TABLE) -> Broadcast:
