@@ -79,15 +79,16 @@ class Examples:
     labels: np.ndarray | None = None
     strength: np.ndarray | None = None  # factor of each term's weight; None is 1
 
-    def __getstate__(self) -> dict:
-        """Flat and in 32 bits: the driver gets all of it as one value."""
-        flat = [np.concatenate([np.zeros(0, np.int32), *[r[k] for r in self.rows]], dtype=np.int32, casting="unsafe") for k in (0, 1)]
-        return self.__dict__ | {"rows": (np.cumsum([len(t) for t, _ in self.rows]), *flat)}
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many terms each example has, and the terms and counts of one example after the other."""
+        if isinstance(self.rows, tuple):
+            return self.rows
+        parts = [np.concatenate([np.zeros(0, np.int32), *[r[k] for r in self.rows]], dtype=np.int32, casting="unsafe") for k in (0, 1)]
+        return np.array([len(t) for t, _ in self.rows], np.int64), *parts
 
-    def __setstate__(self, state: dict) -> None:
-        ends, *flat = state["rows"]
-        rows = list(zip(*(np.split(x, ends[:-1]) for x in flat))) if len(ends) else []
-        self.__dict__.update(state | {"rows": rows})
+    def __getstate__(self) -> dict:
+        """Flat and in 32 bits: the driver gets all of it as one value, and tasks keep it so."""
+        return self.__dict__ | {"rows": self.flat()}
 
 
 def families(texts: pa.ChunkedArray) -> np.ndarray:
@@ -143,44 +144,46 @@ class Index:
         if examples.strength is not None:
             self.scale = self.scale * examples.strength
         self.blocks = -(-len(self.ids) // BLOCK)
-        self.vectors = [(term, self.unit(term, many)) for term, many in examples.rows]
-        own = np.repeat(np.arange(len(self.vectors), dtype=np.int32), [len(t) for t, _ in self.vectors])
-        term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in self.vectors]])
-        impact = np.concatenate([np.zeros(0), *[w for _, w in self.vectors]])
+        size, term, many = examples.flat()
+        ends = np.cumsum(size)
+        impact = (1 + np.log(many)) * self.scale[term]
+        for z, n in zip(ends.tolist(), size.tolist()):
+            if n:
+                impact[z - n : z] /= np.sqrt((impact[z - n : z] ** 2).sum())
+        own = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        # Only the fit of the probabilities needs the examples as texts.
+        self.vectors = None if steps is not None else [(term[z - n : z], impact[z - n : z]) for z, n in zip(ends.tolist(), size.tolist())]
         common = np.argsort(-np.bincount(term, minlength=len(self.vocabulary)), kind="stable")[:HEAD]
         self.column = np.full(len(self.vocabulary), -1, np.int32)
         self.column[common] = np.arange(len(common))
         in_head = self.column[term] >= 0
-        self.dense = len(common), own[in_head].astype(np.int32), self.column[term[in_head]], impact[in_head]
-        self.matrix()
+        # The matrix's exact values by example, and rounded ones as a matrix to multiply with.
+        row, self.head_column, self.head_impact = own[in_head], self.column[term[in_head]], impact[in_head]
+        self.head_begin = np.searchsorted(row, np.arange(len(size) + 1))
+        self.rounded = np.zeros((len(common), len(size)), np.float32)
+        self.rounded[self.head_column, row] = self.head_impact
         own, term, impact = own[~in_head], term[~in_head], impact[~in_head]
+        del many, in_head, row
         order = np.argsort(term, kind="stable")
-        self.example, self.impact, term = own[order], impact[order], term[order].astype(np.int64)
+        self.example, self.impact, term = own[order], impact[order], term[order]
         del own, impact, order
-        entry = term * max(1, self.blocks) + self.example // BLOCK
+        entry = term.astype(np.int64) * max(1, self.blocks) + self.example // BLOCK
         begin = np.flatnonzero(np.diff(entry, prepend=-1))
         self.begin = np.append(begin, len(entry))
         self.block = (self.example[begin] // BLOCK).astype(np.int32)
         self.most = np.maximum.reduceat(self.impact, begin) if len(begin) else np.zeros(0)
         self.first = np.searchsorted(term[begin], np.arange(len(self.vocabulary) + 1))
-        none = np.array([not len(t) for t, _ in self.vectors], bool)
+        none = size == 0
         rate = (self.labels.sum() + 0.5) / (len(self.ids) + 1)
         self.base = (self.labels[none].sum() + rate) / (none.sum() + 1) if len(self.ids) else 0.0
         self.steps = (np.zeros(0), np.zeros(0)) if steps is None else steps
-        if steps is not None:
-            del self.vectors
+        if self.vectors is None:
             return
         some = np.flatnonzero(~none)
         sides = self.products([self.vectors[k] for k in some])
         votes = np.array([self.vote(*self.vectors[k], k, side)[0] for k, side in zip(some, sides)])
         self.steps = isotonic(votes, self.labels[some]) if len(some) else self.steps
 
-    def matrix(self) -> None:
-        columns, row, column, impact = self.dense
-        self.head = np.zeros((len(self.ids), columns))
-        self.head[row, column] = impact
-        self.rounded = np.ascontiguousarray(self.head.T, np.float32)
-
     def unit(self, term: np.ndarray, many: np.ndarray) -> np.ndarray:
         weight = (1 + np.log(many)) * self.scale[term]
         return weight / np.sqrt((weight**2).sum()) if len(weight) else weight
@@ -194,13 +197,18 @@ class Index:
                 one[at[at >= 0]] = weight[at >= 0]
             yield from some @ self.rounded
 
+    def in_head(self, example: int, own: np.ndarray) -> float:
+        """The product of a text's part in the matrix with an example's."""
+        a, z = self.head_begin[example], self.head_begin[example + 1]
+        return float((self.head_impact[a:z] * own[self.head_column[a:z]]).sum())
+
     def nearest(
         self, term: np.ndarray, weight: np.ndarray, without: int = -1, side: np.ndarray | None = None
     ) -> tuple[np.ndarray, np.ndarray]:
         """The NEAREST examples with a common term and their cosines, exactly. `side`: what `products` gives."""
         side = next(self.products([(term, weight)])) if side is None else side
         at = self.column[term]
-        own = np.zeros(self.head.shape[1])
+        own = np.zeros(len(self.rounded))
         own[at[at >= 0]] = weight[at >= 0]
         term, weight = term[at < 0], weight[at < 0]
         lo, hi = self.first[term], self.first[term + 1]
@@ -234,7 +242,7 @@ class Index:
         if len(best) > NEAREST:
             keep = cosine >= np.partition(cosine, -NEAREST)[-NEAREST] - SLACK
             best, rest = best[keep], rest[keep]
-        cosine = rest + (self.head[best] * own).sum(axis=1)
+        cosine = rest + np.array([self.in_head(k, own) for k in best.tolist()])
         near = np.lexsort((best, -cosine))[:NEAREST]
         return best[near], cosine[near]
 
