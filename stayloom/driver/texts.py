@@ -10,6 +10,7 @@ from stayloom.driver.selection import RADIOLOGY, radiology
 from stayloom.driver.views import VITALS, Views
 from stayloom.operators import joins, notes, profiles
 from stayloom.operators.images import images_of_stays
+from stayloom.operators.linkage import IMAGE
 from stayloom.session import settle
 
 # --- detail lists and joined texts ----------------------------------------------------------------
@@ -26,7 +27,9 @@ from stayloom.session import settle
     ["radiology", "radiology_detail"],
 )
 def _(v: Views):
-    rows = joins.with_details(v["radiology"], v["radiology_detail"], ["note_id"], drop=["subject_id"])
+    # Written: texts are read and hashed once, details are attached to the hashes.
+    header = settle(notes.with_version(v["radiology"]).drop("text"))
+    rows = joins.with_details(header, v["radiology_detail"], ["note_id"], drop=["subject_id"])
     lists = notes.detail_lists(rows)
     dash = F.lit("-")
     shown = F.transform(
@@ -146,7 +149,9 @@ PROFILE_VIEWS = ["base", "series", "link_image", *RADIOLOGY_VIEWS]
 
 
 def linked_images(v: Views):
-    return images_of_stays(v.timed_metadata, image_link(v))
+    """Images of stays with their times, written once: profiles and records both read them."""
+    taken = v.timed_metadata.select(*IMAGE, "StudyDatetime")
+    return v.once("linked_images", lambda: settle(images_of_stays(taken, image_link(v))))
 
 
 def tabular(v: Views):

@@ -16,9 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayloom.functions import times
 from stayloom.functions.values import quoted
 from stayloom.operators.ordered import cut_points, positions
-from stayloom.operators.windows import in_window
 
 TEXTS_PER_SLICE = 20_000  # rows that carry long texts
 DETAIL = ["field_name", "field_value", "field_ordinal"]
@@ -59,8 +59,13 @@ def _in_parts(numbered: DataFrame, by: Sequence[str], member: Column, part_size:
     )
 
 
-def _versions(notes: DataFrame) -> DataFrame:
-    """Notes with a hash of all their columns that are not details."""
+def with_version(notes: DataFrame) -> DataFrame:
+    """Notes with a hash of all their columns that are not details; one that is there already stays.
+
+    Hashed before details are attached, a note's text is not carried along with every detail.
+    """
+    if "_version" in notes.columns:
+        return notes
     carried = [c for c in notes.columns if c not in DETAIL and c != "note_id"]
     shown = F.concat_ws("\x1f", *[F.coalesce(quoted(c).cast("string"), F.lit("\x1e")) for c in carried])
     return notes.withColumn("_version", F.unhex(F.sha2(shown, 256)))
@@ -71,7 +76,7 @@ def detail_rows(notes: DataFrame) -> DataFrame:
 
     Fields are ordered by ordinal, unnumbered ones last.  A field name may repeat in a note.
     """
-    rows = _versions(notes).select("note_id", "_version", *DETAIL)
+    rows = with_version(notes).select("note_id", "_version", *DETAIL)
     return positions(
         rows, "field_ordinal", ["note_id", "_version"], ["field_name", "field_value"],
         cuts=cut_points(notes, "field_ordinal", TEXTS_PER_SLICE),
@@ -83,7 +88,7 @@ def detail_lists(notes: DataFrame, part_size: int | None = None) -> DataFrame:
 
     A note's own columns, its text among them, are no part of the rows that are ordered.
     """
-    others = [c for c in notes.columns if c not in DETAIL]
+    others = [c for c in notes.columns if c not in DETAIL and c != "_version"]
     field = F.struct(
         F.col("field_name").alias("name"),
         F.col("field_value").alias("value"),
@@ -91,7 +96,7 @@ def detail_lists(notes: DataFrame, part_size: int | None = None) -> DataFrame:
     ).alias("field")
     by = ["note_id", "_version"]
     lists = _in_parts(detail_rows(notes), by, field, part_size)
-    headers = _versions(notes.select(*[quoted(c) for c in others])).groupBy(*by).agg(
+    headers = with_version(notes.drop(*DETAIL)).groupBy(*by).agg(
         *[F.first(quoted(c)).alias(c) for c in others if c != "note_id"]
     )
     listed = lists.withColumnsRenamed({"note_id": "_note", "_version": "_of"})
@@ -103,10 +108,13 @@ def detail_lists(notes: DataFrame, part_size: int | None = None) -> DataFrame:
     )
 
 
+def _pairs(link: DataFrame) -> DataFrame:
+    return link.dropna(subset=["stay_id", "note_id"]).select("stay_id", *NOTE).distinct()
+
+
 def notes_of_stays(notes: DataFrame, link: DataFrame) -> DataFrame:
     """Notes with the stays they are linked to; each (stay, note) pair counts once."""
-    pairs = link.dropna(subset=["stay_id", "note_id"]).select("stay_id", *NOTE).distinct()
-    return notes.join(pairs, NOTE).select("stay_id", *[quoted(c) for c in notes.columns])
+    return notes.join(_pairs(link), NOTE).select("stay_id", *[quoted(c) for c in notes.columns])
 
 
 def discharge_notes(notes: DataFrame, link: DataFrame) -> DataFrame:
@@ -115,12 +123,17 @@ def discharge_notes(notes: DataFrame, link: DataFrame) -> DataFrame:
 
 
 def radiology_notes(notes: DataFrame, link: DataFrame, windows: DataFrame) -> DataFrame:
-    """Radiology notes inside the window of their stay, details collapsed."""
+    """Radiology notes inside the window of their stay, details collapsed.
+
+    The window joins the pairs of keys, so texts go through one join.
+    """
     if set(DETAIL) <= set(notes.columns):
         notes = detail_lists(notes)
-    return in_window(
-        notes_of_stays(notes, link), windows, ["stay_id"], "charttime", ["stay_id", *notes.columns]
-    )
+    bounds = windows.select("stay_id", "start_time", "end_time")
+    linked = _pairs(link).join(bounds, "stay_id").withColumnsRenamed({c: f"_{c}" for c in bounds.columns})
+    inside = times.inside("charttime", "_start_time", "_end_time")
+    columns = [F.col("_stay_id").alias("stay_id"), *[quoted(c) for c in notes.columns]]
+    return notes.join(linked, NOTE).where(inside).select(*columns)
 
 
 def text_id(text: str = "text") -> Column:
@@ -136,19 +149,35 @@ def first_appearances(notes: DataFrame, key: str = "stay_id", by: Sequence[str]
     )
 
 
+def numbered_keys(notes: DataFrame, key: str = "stay_id", by: Sequence[str] = ()) -> DataFrame:
+    """(key, text_id, charttime, note_id, position): the distinct texts of each key in order of appearance."""
+    return positions(
+        first_appearances(notes, key, by), "charttime", [key], ["note_id", "text_id"],
+        cuts=cut_points(notes, "charttime", TEXTS_PER_SLICE),
+    )
+
+
+def with_texts(numbered: DataFrame, notes: DataFrame, key: str = "stay_id") -> DataFrame:
+    """Rows of (key, text_id) with the text in place of its id.
+
+    Rows and texts are one table of which texts are shuffled once, added up where they are.
+    """
+    row = F.struct(*[quoted(c) for c in numbered.columns if c not in (key, "text_id")])
+    kind = numbered.select(row.alias("row")).schema["row"].dataType
+    rows = numbered.select(key, "text_id", row.alias("_row"), F.lit(None).cast("string").alias("text"))
+    texts = notes.select(key, text_id().alias("text_id"), F.lit(None).cast(kind).alias("_row"), "text")
+    found = rows.unionByName(texts).groupBy(key, "text_id").agg(
+        F.collect_list("_row").alias("_rows"), F.first("text", ignorenulls=True).alias("text")
+    )
+    return found.select(key, F.explode("_rows").alias("_row"), "text").select(key, "_row.*", "text")
+
+
 def numbered_notes(notes: DataFrame, key: str = "stay_id", by: Sequence[str] = ()) -> DataFrame:
     """(key, position, charttime, note_id, text): the distinct texts of each key in order of appearance.
 
     With `by` = charttime a text counts once for each of its times.
     """
-    numbered = positions(
-        first_appearances(notes, key, by), "charttime", [key], ["note_id", "text_id"],
-        cuts=cut_points(notes, "charttime", TEXTS_PER_SLICE),
-    )
-    texts = notes.withColumn("text_id", text_id()).groupBy(key, "text_id").agg(F.first("text").alias("text"))
-    named = texts.withColumnsRenamed({key: "_key", "text_id": "_text"})
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("text_id").eqNullSafe(F.col("_text"))
-    return numbered.join(named, same).select(key, "position", "charttime", "note_id", "text")
+    return with_texts(numbered_keys(notes, key, by), notes, key).select(key, "position", "charttime", "note_id", "text")
 
 
 def joined_texts(

@@ -11,7 +11,7 @@ from stayloom.config import OUTCOME_QUESTIONS
 from stayloom.functions.times import hours_between
 from stayloom.functions.values import file_name, image_path, number_text, quoted
 from stayloom.operators.images import latest_image
-from stayloom.operators.notes import TEXTS_PER_SLICE, gather_text, join_pieces, numbered_notes
+from stayloom.operators.notes import TEXTS_PER_SLICE, gather_text, join_pieces, numbered_keys, with_texts
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.timeseries import last_hours
 from stayloom.session import settle
@@ -138,7 +138,8 @@ def report_block(notes: DataFrame, stays: DataFrame, key: str = "stay_id", part_
         F.lit(REPORT_TIME[0]), number_text(elapsed), F.lit(REPORT_TIME[1]),
         F.lit(REPORT_TEXT[0]), F.col("text"), F.lit(REPORT_TEXT[1]),
     )
-    lines = numbered_notes(notes, key, ["charttime"]).join(admitted, key)
+    numbered = numbered_keys(notes, key, ["charttime"]).join(admitted, key)  # before the texts, which are long
+    lines = with_texts(numbered, notes, key)
     block = join_pieces(lines, key, line, "", "reports", part_size)
     head = F.when(F.col("part") == 0, F.lit(REPORT_HEAD)).otherwise(F.lit(""))
     return block.withColumn("reports", F.concat(head, F.col("reports")))

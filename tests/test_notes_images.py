@@ -3,7 +3,7 @@
 import pytest
 from conftest import at, rows
 
-from stayloom.operators import images, notes
+from stayloom.operators import images, joins, notes
 
 NOTE = "stay_id long, note_id string, charttime timestamp_ntz, text string"
 
@@ -33,6 +33,43 @@ def test_a_note_with_many_fields_comes_in_parts(frame):
     assert [f["ordinal"] for r in parts for f in r["detail_fields"]] == list(range(25))
 
 
+def test_details_are_attached_to_hashes_of_the_notes(frame):
+    """Versions made before details are attached give the same lists; the text is then not in the rows."""
+    header = frame("note_id string, hadm_id long, text string", [("a", 1, "t"), ("a", 1, "u"), ("b", 2, None)])
+    detail = frame("note_id string, field_name string, field_value string, field_ordinal int", [("a", "exam", "x", 1)])
+    whole = notes.detail_lists(joins.with_details(header, detail, ["note_id"]))
+    bare = notes.with_version(header).drop("text")
+    got = notes.detail_lists(joins.with_details(bare, detail, ["note_id"]))
+    assert got.columns == ["note_id", "hadm_id", "detail_part", "detail_fields"]
+    assert rows(got, *got.columns) == rows(whole.drop("text"), *got.columns)
+    assert got.count() == 3
+
+
+def test_texts_join_their_rows_without_a_join(frame):
+    df = frame(NOTE, [(1, "n1", at("2150-01-01"), "x"), (1, "n2", at("2150-01-02"), "x"), (None, "n3", at("2150-01-01"), None)])
+    numbered = notes.numbered_keys(df, by=["charttime"])
+    got = notes.with_texts(numbered.localCheckpoint(), df)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(((r["stay_id"], r["position"], r["note_id"], r["text"]) for r in got.collect()), key=str) == [
+        (1, 1, "n1", "x"), (1, 2, "n2", "x"), (None, 1, "n3", None)
+    ]
+
+
+def test_radiology_notes_go_through_one_join(frame):
+    """The window joins the links; a stay listed twice brings its notes twice."""
+    df = frame(
+        "subject_id long, hadm_id long, note_id string, charttime timestamp_ntz, text string",
+        [(1, 10, "a", at("2150-01-02"), "in"), (1, 10, "b", at("2150-01-05"), "out"), (1, 10, None, at("2150-01-02"), "no id")],
+    )
+    link = frame("subject_id long, hadm_id long, stay_id long, note_id string", [(1, 10, 5, "a"), (1, 10, 5, "a"), (1, 10, 5, "b")])
+    stays = frame("stay_id long, start_time timestamp_ntz, end_time timestamp_ntz", [(5, at("2150-01-01"), at("2150-01-03"))] * 2)
+    got = notes.radiology_notes(df, link, stays)
+    assert got.columns == ["stay_id", *df.columns]
+    assert rows(got, "stay_id", "note_id", "text") == [(5, "a", "in")] * 2
+    tree = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "note_id" in next(x for x in tree if "Join" in x)  # the last join is the one that brings the texts
+
+
 @pytest.fixture
 def reports(frame):
     return frame(

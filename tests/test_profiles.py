@@ -139,3 +139,11 @@ def test_fingerprint_ignores_order_not_repeats(frame):
     assert checks.compare(a, a.drop("y"))[0] is False
     assert rows(checks.difference(a, other)) == [(1, 1)]
     assert rows(checks.difference(a, same)) == [(0, 0)]
+
+
+def test_linked_images_are_made_once(spark):
+    from stayloom.driver.texts import linked_images
+    from stayloom.driver.views import Views
+
+    views = Views(spark, "/root/testdata/sf0.001")
+    assert linked_images(views) is linked_images(views)
