@@ -37,6 +37,7 @@ END = 0  # the id that ends a document
 
 def pieces(source: Broadcast, length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.release()
         words, seen = table(source), np.zeros(length + 1, np.int64)
         task = TaskContext.get().partitionId()
         for batch in batches:

@@ -91,3 +91,11 @@ def test_many_rows_of_one_id_and_text(spark, operator):
     counted = operator(docs, with_text=False).groupBy("doc_id", "n_removed").count().collect()
     whole = 400 if operator is substring_dedup.substring_dedup else len(text)
     assert {tuple(r) for r in counted} == {(None, whole, 20_000), (1, 0, 1)}
+
+
+def test_blocks_are_small_and_freed_memory_is_given_back():
+    """A worker's arrays are some 150 bytes for each byte of a block."""
+    from stayloom.llm import arrays
+
+    assert arrays.BLOCK <= 1 << 18
+    arrays.release()
