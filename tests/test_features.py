@@ -121,6 +121,18 @@ def test_halving_finds_the_winner_of_the_full_grid(frame):
     assert full.auroc == pytest.approx(max(t[3] for t in full.tried))
 
 
+def test_the_last_path_left_is_fitted_on_all_rows_beside_the_folds(frame, monkeypatch):
+    data = [(i, [float(i % 7), float(i % 3)], i % 7 > 3) for i in range(200)]
+    df = frame("stay_id long, features array<double>, y_true boolean", data).withColumn("y_true", F.col("y_true").cast("int"))
+    training = models.prepare(df).where("split <> 'test'")
+    seen, one = [], models._path_models
+    monkeypatch.setattr(models, "_path_models", lambda e, s, limits, rows: seen.append((rows is training, limits)) or one(e, s, limits, rows))
+    search = models.tree_search([2], [0.1], [5], [2, 4], rounds=models.ALL)
+    found = models.fit(training, search, folds=2)
+    assert [limits for whole, limits in seen if whole] == [[2, 4]] and len(seen) == 3
+    assert found.model.getNumTrees == found.settings["maxIter"]
+
+
 def test_depths_that_are_not_reached_score_alike(frame):
     """Twelve fits in full give what fits from the deepest down give."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
