@@ -12,6 +12,7 @@ from stayloom.functions.values import file_name, image_path, prefixed, with_exte
 from stayloom.operators import images, joins, linkage
 from stayloom.operators.linkage import STAY
 from stayloom.sources.folders import scan_folder
+from stayloom.session import settle
 from stayloom.sources.sinks import sorted_by
 
 
@@ -19,6 +20,11 @@ def image_link(v: Views):
     return linkage.link_images(v.stays, v.timed_metadata)
 
 
+def written_link(v: Views):
+    """The image link, written once: metadata, paths and findings are filtered by its keys before they are shuffled."""
+    return v.once("written_link", lambda: settle(image_link(v)))
+
+
 def discharge_link(v: Views):
     return linkage.link_discharge_notes(v.stays, v["discharge"])
 
@@ -27,6 +33,20 @@ def radiology_link(v: Views):
     return linkage.link_radiology_notes(v.stays, v["radiology"])
 
 
+def _written_note_link(v: Views, name: str, make, *columns: str):
+    """A link of notes as a written table, made from written keys of the notes, by which stays are filtered."""
+    keys = v.once(f"written_{name}_keys", lambda: settle(v[name].select(*linkage.ADMISSION, *columns)))
+    return v.once(f"written_{name}_link", lambda: settle(make(v.stays, keys)))
+
+
+def written_discharge_link(v: Views):
+    return _written_note_link(v, "discharge", linkage.link_discharge_notes, "note_id")
+
+
+def written_radiology_link(v: Views):
+    return _written_note_link(v, "radiology", linkage.link_radiology_notes, "note_id", "charttime")
+
+
 def links(v: Views):
     return linkage.link_table(v.stays, image_link(v), discharge_link(v), radiology_link(v))
 
@@ -229,7 +249,7 @@ _LABELS = ", ".join(
 
 def index(v: Views):
     return images.image_index(
-        v.timed_metadata, image_link(v), v.windows, v["cxr_image_path"], v["cxr_text_path"],
+        v.timed_metadata, written_link(v), v.windows, v["cxr_image_path"], v["cxr_text_path"],
         {"chexpert": v["cxr_chexpert"], "negbio": v["cxr_negbio"]},
     )
 
@@ -243,7 +263,7 @@ def index(v: Views):
 )
 def _(v: Views):
     rows = v["cxr_metadata"].select("subject_id", "study_id", "dicom_id", "ViewPosition")
-    doubled = image_link(v).unionByName(image_link(v))
+    doubled = written_link(v).unionByName(written_link(v))
     return images.images_of_stays(rows, doubled)
 
 
@@ -317,7 +337,7 @@ def _(v: Views):
 )
 def _(v: Views):
     rows = v.timed_metadata.select("subject_id", "study_id", "dicom_id", "StudyDatetime", "ViewPosition")
-    return images.latest_image(images.images_of_stays(rows, image_link(v)))
+    return images.latest_image(images.images_of_stays(rows, written_link(v)))
 
 
 @query(

@@ -9,12 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayloom.functions.values import quoted
 
 
+def known(column: str) -> Column:
+    """Whether a value is there, said as a comparison, which is true of every value.
+
+    By a comparison Spark takes a written table for a selective side of its joins and filters the other
+    sides by its keys before they are shuffled (runtime filters, see session.SETTINGS).
+    """
+    return F.col(column).cast("string") >= F.lit("")
+
+
 def restrict(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of `df` whose key occurs in `keys`; column order is kept."""
     return df.join(keys.select(*on), list(on), "left_semi").select(*[quoted(c) for c in df.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayloom.functions.times import earliest, packed_datetime
-from stayloom.operators.joins import interval_join
+from stayloom.operators.joins import interval_join, known
 from stayloom.operators.ordered import positions
 
 STAY = ["subject_id", "hadm_id", "stay_id"]
@@ -45,15 +45,14 @@ def link_images(stays: DataFrame, images: DataFrame) -> DataFrame:
 
 def link_discharge_notes(stays: DataFrame, notes: DataFrame) -> DataFrame:
     """Discharge notes of the admission, whatever their time."""
-    return stays.select(*STAY).join(notes.select(*ADMISSION, "note_id"), ADMISSION).select(
-        *STAY, "note_id"
-    ).distinct()
+    keys = notes.select(*ADMISSION, "note_id").where(known("hadm_id"))
+    return stays.select(*STAY).join(keys, ADMISSION).select(*STAY, "note_id").distinct()
 
 
 def link_radiology_notes(stays: DataFrame, notes: DataFrame) -> DataFrame:
     """Radiology notes of the admission written between earliest_intime and outtime, ends included."""
     spans = stays.select(*STAY, "earliest_intime", "outtime")
-    points = notes.select(*ADMISSION, "note_id", "charttime")
+    points = notes.select(*ADMISSION, "note_id", "charttime").where(known("hadm_id"))
     pairs = interval_join(points, spans, ADMISSION, "charttime", "earliest_intime", "outtime")
     return pairs.select(*STAY, "note_id").distinct()
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from stayloom.driver import QUERIES
 from stayloom.driver.views import Views
-from stayloom.operators import joins, outcomes, timeseries, windows
+from stayloom.operators import images, joins, linkage, outcomes, timeseries, windows
+from stayloom.session import settle
 
 DATA = "/root/testdata/sf0.001"
 
@@ -130,3 +131,53 @@ def test_readmission_of_a_hot_subject_runs_per_slice(spark):
     assert "_slice" in plan(got)
     assert got.where("readmission = 1").count() == 0
     assert outcomes.readmission(df, 1).where("readmission = 1").count() == 39
+
+
+@pytest.fixture
+def filtered(spark):
+    """Joins that shuffle, with filters by the other side's keys for small tables too."""
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, x in low.items():
+        spark.conf.set(k, x)
+    yield
+    for k, x in before.items():
+        spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
+def test_rows_a_written_link_does_not_name_are_not_shuffled(spark, filtered):
+    """Metadata, windows, paths and findings are filtered by the link's keys below their exchanges."""
+    taken = F.lit(datetime(2150, 1, 2)).cast("timestamp_ntz")
+    ids = spark.range(2000).select(
+        (F.col("id") % 50).alias("subject_id"), (F.col("id") % 400).alias("study_id"),
+        F.concat(F.lit("d"), F.col("id")).alias("dicom_id"), F.col("id"),
+    )
+    metadata = settle(ids.select("subject_id", "study_id", "dicom_id", taken.alias("StudyDatetime")))
+    link = settle(ids.where("id % 100 = 7").select(F.col("id").alias("stay_id"), "subject_id", "study_id", "dicom_id"))
+    bounds = settle(ids.select(
+        F.col("id").alias("stay_id"), (taken - F.expr("INTERVAL 1 DAY")).alias("start_time"),
+        (taken + F.expr("INTERVAL 1 DAY")).alias("end_time"),
+    ))
+    paths = settle(ids.select("subject_id", "study_id", "dicom_id", F.concat(F.lit("p"), F.col("id")).alias("path")))
+    studies = settle(ids.where("id < 400").select("subject_id", "study_id", F.lit("r").alias("path"), F.lit(1.0).alias("Edema")))
+    got = images.image_index(
+        metadata, link, bounds, paths, studies.select("subject_id", "study_id", "path"),
+        {"chexpert": studies, "negbio": studies}, ["Edema"],
+    )
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("might_contain(") >= 6
+    rows = got.collect()
+    assert len(rows) == 20 and {r["image_path"] for r in rows} == {f"p{i}" for i in range(7, 2000, 100)}
+    assert all(r["text_path"] == "r" and r["chexpert_Edema"] == r["negbio_Edema"] == 1.0 for r in rows)
+
+
+def test_stays_without_a_note_are_not_shuffled_for_the_links(spark, filtered):
+    moment = F.lit(datetime(2150, 1, 2)).cast("timestamp_ntz")
+    ids = spark.range(2000).select((F.col("id") % 50).alias("subject_id"), F.col("id").alias("hadm_id"), F.col("id").alias("stay_id"))
+    stays = settle(ids.select("*", moment.alias("earliest_intime"), moment.alias("outtime")))
+    notes = settle(ids.where("hadm_id % 100 = 7").select(
+        "subject_id", "hadm_id", F.when(F.col("hadm_id") > 100, F.lit("n")).alias("note_id"), moment.alias("charttime")
+    ))
+    for link in (linkage.link_discharge_notes(stays, notes), linkage.link_radiology_notes(stays, notes)):
+        assert "might_contain(" in link._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r["stay_id"], r["note_id"]) for r in link.collect()} == {(7, None), *((i, "n") for i in range(107, 2000, 100))}
