@@ -8,10 +8,10 @@ from stayloom.config import TrainingConfig
 from stayloom.driver.linkage import (
     IMAGE_INDEX,
     IMAGE_INDEX_VIEWS,
-    discharge_link,
-    image_link,
     index,
-    radiology_link,
+    written_discharge_link,
+    written_link,
+    written_radiology_link,
 )
 from stayloom.driver.registry import query
 from stayloom.driver.views import Views
@@ -68,17 +68,17 @@ def _(v: Views):
 
 
 def radiology(v: Views):
-    return notes.radiology_notes(v["radiology"], radiology_link(v), v.windows)
+    return notes.radiology_notes(v["radiology"], written_radiology_link(v), v.windows)
 
 
 def discharge(v: Views):
-    return notes.discharge_notes(v["discharge"], discharge_link(v))
+    return notes.discharge_notes(v["discharge"], written_discharge_link(v))
 
 
 def presence(v: Views):
     """Counted from the images in their windows: paths and findings add no row."""
     taken = v.timed_metadata.select(*IMAGE, "StudyDatetime")
-    found = images.images_in_windows(taken, image_link(v), v.windows)
+    found = images.images_in_windows(taken, written_link(v), v.windows)
     return cohort.modality_presence(v.windows, v.series, found, discharge(v), radiology(v))
 
 
@@ -105,6 +105,9 @@ INCLUDED = f"""
 CONFIG = TrainingConfig(age_lower=25, age_upper=85, los_lower=2, drop_missing_text=True)
 
 
+SELECTED = ["hadm_id", "stay_id", "start_time", "end_time", "age", "los"]
+
+
 def included(v: Views):
     return cohort.included_stays(v.windows, presence(v), CONFIG)
 
@@ -121,11 +124,15 @@ def _(v: Views):
 
 @query("modality_presence", PRESENCE, PRESENCE_VIEWS)
 def _(v: Views):
+    v.write_stays()
+    v.write_windows(*SELECTED)
     return presence(v)
 
 
 @query("cohort_select", INCLUDED, PRESENCE_VIEWS)
 def _(v: Views):
+    v.write_stays()
+    v.write_windows(*SELECTED)
     return included(v)
 
 
@@ -135,6 +142,8 @@ def _(v: Views):
     PRESENCE_VIEWS,
 )
 def _(v: Views):
+    v.write_stays()
+    v.write_windows(*SELECTED)
     return cohort.cohort_counts(v.windows, included(v))
 
 
@@ -170,6 +179,8 @@ def _(v: Views):
     PRESENCE_VIEWS,
 )
 def _(v: Views):
+    v.write_stays()
+    v.write_windows("subject_id", *SELECTED, "gender", "intime", "outtime", "deathtime", "dod", "hospital_expire_flag")
     tabular = v.windows.select("subject_id", "hadm_id", "stay_id", "age", "gender", "los")
     return restrict(tabular.join(outcomes.outcomes(v.windows), "stay_id"), included(v), ["stay_id"]).select(
         "subject_id", "hadm_id", "stay_id", "age", "gender", "los", "icu_expire_flag", "los_binary", "readmission"
@@ -188,6 +199,8 @@ def _(v: Views):
     PRESENCE_VIEWS,
 )
 def _(v: Views):
+    v.write_stays()
+    v.write_windows(*SELECTED)
     tables = {
         "time_series": (v.series, "stay_id"),
         "cxr_index": (index(v), "dicom_id"),

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayloom.functions.values import quoted
+from stayloom.operators.joins import known, restrict
 from stayloom.operators.ordered import cut_points, positions
 from stayloom.operators.windows import in_window
 
@@ -123,8 +124,9 @@ def radiology_notes(notes: DataFrame, link: DataFrame, windows: DataFrame) -> Da
     """Radiology notes inside the window of their stay, details collapsed."""
     if set(DETAIL) <= set(notes.columns):
         notes = detail_lists(notes)
+    bounds = restrict(windows.select("stay_id", "start_time", "end_time"), link.where(known("note_id")), ["stay_id"])
     return in_window(
-        notes_of_stays(notes, link), windows, ["stay_id"], "charttime", ["stay_id", *notes.columns]
+        notes_of_stays(notes, link), bounds, ["stay_id"], "charttime", ["stay_id", *notes.columns]
     )
 
 
