@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayloom.driver.linkage import image_link
+from stayloom.driver.linkage import written_link
 from stayloom.driver.registry import query
 from stayloom.driver.selection import RADIOLOGY, radiology
 from stayloom.driver.views import VITALS, Views
@@ -151,7 +151,16 @@ PROFILE_VIEWS = ["base", "series", "link_image", *RADIOLOGY_VIEWS]
 def linked_images(v: Views):
     """Images of stays with their times, written once: profiles and records both read them."""
     taken = v.timed_metadata.select(*IMAGE, "StudyDatetime")
-    return v.once("linked_images", lambda: settle(images_of_stays(taken, image_link(v))))
+    return v.once("linked_images", lambda: settle(images_of_stays(taken, written_link(v))))
+
+
+def write_read_parts(v: Views) -> None:
+    """Write the stays and the windows' columns that profiles and records read, once."""
+    v.write_stays()
+    v.write_windows(
+        "hadm_id", "stay_id", "start_time", "end_time", "intime", "age", "gender", "race", "marital_status",
+        "language", "insurance", "hospital_expire_flag", "los",
+    )
 
 
 def tabular(v: Views):
@@ -160,8 +169,9 @@ def tabular(v: Views):
     )
 
 
-def context(v: Views):
-    return profiles.patient_profiles(tabular(v), v.written_series, linked_images(v), settle(radiology(v)))
+def gathered(v: Views):
+    write_read_parts(v)
+    return profiles.gathered_profiles(tabular(v), v.written_series, linked_images(v), settle(radiology(v)))
 
 
 @query("profile_demographics", DEMOGRAPHIC, ["base"])
@@ -181,7 +191,7 @@ def _(v: Views):
 
 @query("patient_profile", PROFILE, PROFILE_VIEWS)
 def _(v: Views):
-    return context(v).drop("last")
+    return profiles.with_context(gathered(v)).drop("last")
 
 
 # --- records and prompts --------------------------------------------------------------------------
@@ -202,10 +212,11 @@ RECORD_VIEWS = [*PROFILE_VIEWS, "image_times"]
 
 
 def records(v: Views):
+    profile = gathered(v)
     answers = v.windows.select(
         "stay_id", "hospital_expire_flag", (F.col("los") > 3).cast("int").alias("los_binary")
     )
-    return profiles.qa_records(context(v), linked_images(v), answers)
+    return profiles.qa_records(profile, linked_images(v), answers)
 
 
 @query("qa_records", RECORDS, RECORD_VIEWS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,12 +89,16 @@ RECORD_SCHEMA = (
 )
 
 
-def demographic_block(tabular: DataFrame, key: str = "stay_id") -> DataFrame:
-    """(key, demographics): age, gender, race and so on, one line each."""
+def _demographic_text(values: Callable[[str], Column]) -> Column:
     pieces: list[Column] = [F.lit(DEMOGRAPHIC_HEAD)]
     for before, column in DEMOGRAPHIC_LINES:
-        pieces += [F.lit(before), F.coalesce(quoted(column).cast("string"), F.lit(MISSING))]
-    return tabular.select(key, F.concat(*pieces, F.lit(DEMOGRAPHIC_TAIL)).alias("demographics"))
+        pieces += [F.lit(before), F.coalesce(values(column).cast("string"), F.lit(MISSING))]
+    return F.concat(*pieces, F.lit(DEMOGRAPHIC_TAIL))
+
+
+def demographic_block(tabular: DataFrame, key: str = "stay_id") -> DataFrame:
+    """(key, demographics): age, gender, race and so on, one line each."""
+    return tabular.select(key, _demographic_text(quoted).alias("demographics"))
 
 
 def _vital_row(columns: list[str]) -> Column:
@@ -145,45 +149,82 @@ def report_block(notes: DataFrame, stays: DataFrame, key: str = "stay_id", part_
     return block.withColumn("reports", F.concat(head, F.col("reports")))
 
 
-def patient_profiles(
+def gathered_profiles(
     tabular: DataFrame, series: DataFrame, images: DataFrame, radiology: DataFrame, key: str = "stay_id",
     part_size: int | None = None,
 ) -> DataFrame:
-    """(key, part, last, context): the blocks a stay has, one after the other.
+    """(key, part, last, blocks): the blocks a stay has, not yet written out.
 
-    Without `part_size` every stay has part 0 only.  With it a new part begins with each piece beyond a
-    block's first; joined in `part` order without separator they give the profile, `last` marks the end.
+    Every stay has demographics, whose text is several times as long as their values, so the values go
+    through joins and grouping and `with_context` writes the text in the end.
     """
+    values = F.struct(*[quoted(c) for _, c in DEMOGRAPHIC_LINES])
+    kind = tabular.select(values.alias("values")).schema["values"].dataType
 
-    def block(df: DataFrame, number: int, text: str) -> DataFrame:
+    def block(df: DataFrame, number: int, text: str | None) -> DataFrame:
         piece = F.col("part") if "part" in df.columns else F.lit(0)
-        return df.select(key, F.lit(number).alias("block"), piece.alias("piece"), F.col(text).alias("text"))
-
-    blocks = settle(
-        block(demographic_block(tabular, key), 0, "demographics")
+        return df.select(
+            key, F.lit(number).alias("block"), piece.alias("piece"),
+            (F.lit(None).cast("string") if text is None else F.col(text)).alias("text"),
+            (values if text is None else F.lit(None).cast(kind)).alias("values"),
+        )
+
+    blocks = (
+        block(tabular, 0, None)
         .unionByName(block(vital_block(series, 2, key, part_size), 1, "vital_signs"))
         .unionByName(block(image_block(images, key), 2, "images"))
         .unionByName(block(report_block(radiology, tabular, key, part_size), 3, "reports"))
+        .where(F.col(key).isNotNull())
     )
+    members = F.collect_list(F.struct("block", "piece", "text", "values")).alias("blocks")
+    if part_size is None:  # every block is one piece
+        return blocks.groupBy(key).agg(members).select(
+            key, F.lit(0).alias("part"), F.lit(True).alias("last"), "blocks"
+        )
+    blocks = settle(blocks)
     # A part begins with each further piece of a block: parts count the pieces beyond each block's first.
     further = [F.max(F.when(F.col("block") == b, F.col("piece"))).alias(f"_of_{b}") for b in range(_BLOCKS)]
     more = blocks.groupBy(key).agg(*further)
     known = [F.coalesce(f"_of_{b}", F.lit(0)) for b in range(_BLOCKS)]
     before = sum((F.when(F.col("block") > b, known[b]).otherwise(F.lit(0)) for b in range(_BLOCKS)), F.lit(0))
-    # Blocks are joined by a line break, the pieces of one block by nothing.
-    opens = (F.col("piece") == 0) & (F.col("block") > 0)
-    text = F.concat(F.when(opens, F.lit("\n")).otherwise(F.lit("")), F.col("text"))
     joined = (
         blocks.join(more, key)
         .groupBy(key, (before + F.col("piece")).cast("int").alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("block", "piece", text.alias("text")))).alias("rows"), F.max(sum(known, F.lit(0))).alias("_end"))
-    )
-    return joined.select(
-        key,
-        "part",
-        (F.col("part") == F.col("_end")).alias("last"),
-        F.array_join(F.transform("rows", lambda r: r["text"]), "").alias("context"),
+        .agg(members, F.max(sum(known, F.lit(0))).alias("_end"))
     )
+    return joined.select(key, "part", (F.col("part") == F.col("_end")).alias("last"), "blocks")
+
+
+def _context(blocks: str = "blocks") -> Column:
+    """The text of gathered blocks, which are joined by a line break, the pieces of one block by nothing."""
+
+    def written(b: Column) -> Column:
+        opens = (b["piece"] == 0) & (b["block"] > 0)
+        text = F.when(b["block"] == 0, _demographic_text(lambda c: b["values"][c])).otherwise(b["text"])
+        return F.struct(
+            b["block"].alias("block"), b["piece"].alias("piece"),
+            F.concat(F.when(opens, F.lit("\n")).otherwise(F.lit("")), text).alias("text"),
+        )
+
+    return F.array_join(F.transform(F.array_sort(F.transform(blocks, written)), lambda r: r["text"]), "")
+
+
+def with_context(gathered: DataFrame) -> DataFrame:
+    """Gathered profiles with their text in place of the blocks."""
+    others = [quoted(c) for c in gathered.columns if c != "blocks"]
+    return gathered.select(*others, _context().alias("context"))
+
+
+def patient_profiles(
+    tabular: DataFrame, series: DataFrame, images: DataFrame, radiology: DataFrame, key: str = "stay_id",
+    part_size: int | None = None,
+) -> DataFrame:
+    """(key, part, last, context): the blocks a stay has, one after the other.
+
+    Without `part_size` every stay has part 0 only.  With it a new part begins with each piece beyond a
+    block's first; joined in `part` order without separator they give the profile, `last` marks the end.
+    """
+    return with_context(gathered_profiles(tabular, series, images, radiology, key, part_size))
 
 
 def qa_records(
@@ -193,7 +234,10 @@ def qa_records(
     key: str = "stay_id",
     questions: Mapping[str, str] = OUTCOME_QUESTIONS,
 ) -> DataFrame:
-    """Numbered records of profile, last image, questions and answers, in stay order."""
+    """Numbered records of profile, last image, questions and answers, in stay order.
+
+    Profiles that are gathered only get their text after the joins, which then carry no texts.
+    """
     paths = latest_image(images, key).select(
         key, image_path("subject_id", "study_id", "dicom_id").alias("image")
     )
@@ -201,11 +245,12 @@ def qa_records(
     answer = F.create_map(
         *[x for name in questions for x in (F.lit(name), quoted(name).cast("int"))]
     )
+    context = _context() if "blocks" in profiles.columns else F.col("context")
     keyed = positions(answers.select(key, *questions), key, name="id")
     return (
         keyed.join(profiles, key)
         .join(paths, key, "left")
-        .select("id", "part", "last", "context", "image", question.alias("question"), answer.alias("answer"))
+        .select("id", "part", "last", context.alias("context"), "image", question.alias("question"), answer.alias("answer"))
     )
 
 

@@ -147,3 +147,15 @@ def test_linked_images_are_made_once(spark):
 
     views = Views(spark, "/root/testdata/sf0.001")
     assert linked_images(views) is linked_images(views)
+
+
+def test_records_write_texts_after_the_joins(frame, tabular, series, images, reports):
+    """Gathered profiles give the same records, and no exchange or sort carries the demographic text."""
+    doubled = tabular.unionByName(tabular.where("stay_id = 9")).unionByName(tabular.limit(1).selectExpr("CAST(NULL AS LONG) AS stay_id", *tabular.columns[1:]))
+    for part_size in (None, 1):
+        args = (doubled, series, images, reports, "stay_id", part_size)
+        whole = profiles.qa_records(profiles.patient_profiles(*args), images, doubled)
+        late = profiles.qa_records(profiles.gathered_profiles(*args), images, doubled)
+        assert rows(late, "id", "part", "last", "context", "image") == rows(whole, "id", "part", "last", "context", "image")
+        text = late._jdf.queryExecution().sparkPlan().toString()
+        assert "Patient Demographics" in text and "Patient Demographics" not in text[text.index("Join") :]
