@@ -181,3 +181,9 @@ def test_stays_without_a_note_are_not_shuffled_for_the_links(spark, filtered):
     for link in (linkage.link_discharge_notes(stays, notes), linkage.link_radiology_notes(stays, notes)):
         assert "might_contain(" in link._jdf.queryExecution().optimizedPlan().toString()
         assert {(r["stay_id"], r["note_id"]) for r in link.collect()} == {(7, None), *((i, "n") for i in range(107, 2000, 100))}
+
+
+@pytest.mark.parametrize("name", ["cohort_select", "cohort_counts", "qa_records", "prompt_text"])
+def test_windows_are_joined_once(spark, name):
+    """Every step after the writing of the windows reads the written table, not patients again."""
+    assert "c_custkey" not in QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
