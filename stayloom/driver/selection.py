@@ -19,6 +19,7 @@ from stayloom.functions.values import band
 from stayloom.operators import checks, cohort, images, notes, outcomes, windows
 from stayloom.operators.joins import restrict
 from stayloom.operators.linkage import IMAGE
+from stayloom.session import settle
 
 BASE_COLUMNS = [
     "subject_id", "hadm_id", "stay_id", "admission_type", "admission_location", "discharge_location",
@@ -181,8 +182,10 @@ def _(v: Views):
 def _(v: Views):
     v.write_stays()
     v.write_windows("subject_id", *SELECTED, "gender", "intime", "outtime", "deathtime", "dod", "hospital_expire_flag")
+    # Written before the joins: each filter of a plan stands on the driver as long as the plan runs.
+    chosen = v.once("written_included", lambda: settle(included(v)))
     tabular = v.windows.select("subject_id", "hadm_id", "stay_id", "age", "gender", "los")
-    return restrict(tabular.join(outcomes.outcomes(v.windows), "stay_id"), included(v), ["stay_id"]).select(
+    return restrict(tabular.join(outcomes.outcomes(v.windows), "stay_id"), chosen, ["stay_id"]).select(
         "subject_id", "hadm_id", "stay_id", "age", "gender", "los", "icu_expire_flag", "los_binary", "readmission"
     )
 

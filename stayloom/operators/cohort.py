@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayloom.config import TrainingConfig
+from stayloom.session import settle
 
 
 def modality_presence(
@@ -14,7 +15,8 @@ def modality_presence(
     """Rows per stay in each modality, 0 where there are none.
 
     All tables are one table of (stay, marker) and added up together, so that stays are shuffled once
-    and a stay with very many rows sends one sum per task.
+    and a stay with very many rows sends one sum per task.  The stays of each table are written by
+    themselves: in one plan the filters of all tables' joins would stand on the driver at once.
     """
     names = ["_stays", "n_ts", "n_img", "n_text"]
 
@@ -23,7 +25,7 @@ def modality_presence(
 
     together = marked(windows, "_stays")
     for df, name in ((series, "n_ts"), (images, "n_img"), (discharge, "n_text"), (radiology, "n_text")):
-        together = together.unionByName(marked(df, name))
+        together = together.unionByName(marked(settle(df.select("stay_id")), name))
     counts = together.groupBy("stay_id").agg(*[F.sum(n).alias(n) for n in names])
     return counts.where("_stays > 0").drop("_stays")
 

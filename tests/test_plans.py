@@ -1,13 +1,14 @@
 """Physical plans: pushdown, no Python in the plan, no products, split hot keys."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from stayloom.driver import QUERIES
 from stayloom.driver.views import Views
-from stayloom.operators import images, joins, linkage, outcomes, timeseries, windows
+from stayloom.operators import cohort, images, joins, linkage, outcomes, timeseries, windows
 from stayloom.session import settle
 
 DATA = "/root/testdata/sf0.001"
@@ -187,3 +188,31 @@ def test_stays_without_a_note_are_not_shuffled_for_the_links(spark, filtered):
 def test_windows_are_joined_once(spark, name):
     """Every step after the writing of the windows reads the written table, not patients again."""
     assert "c_custkey" not in QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def scans(df):
+    """The optimized plan, where every table that is read is a relation."""
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_of_an_export_are_not_joined_in_one_plan(spark):
+    """Images, notes and events are settled before the stays are exported, so that their filters are gone by then."""
+    plan_of = scans(QUERIES["export_included"](spark, DATA))
+    assert not any(c in plan_of for c in ("l_orderkey", "doc_id", "event_id", "note_id", "dicom_id"))
+
+
+def test_each_modality_is_counted_from_written_stays(spark):
+    ids = spark.range(6).select((F.col("id") % 3).alias("stay_id"))
+    joined = ids.join(spark.range(2).select(F.col("id").alias("stay_id")), "stay_id")
+    got = cohort.modality_presence(ids.distinct(), joined, joined, ids, ids)
+    assert "Join" not in scans(got)
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 2, 2, 4), (1, 2, 2, 4), (2, 0, 0, 4)]
+
+
+def test_compressed_keys_are_not_broadcast_by_their_size_on_disk(spark):
+    """A settled table counts for more than its files, which are compressed; filters of a plan fit the driver together."""
+    table = settle(spark.range(1_000_000).select("id", F.lit("x").alias("same")))
+    on_disk = sum(p.stat().st_size for f in table.inputFiles() for p in [Path(f.removeprefix("file://"))])
+    estimated = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert estimated >= 4 * on_disk
+    assert int(spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")) <= 8 * 2 * 1024**2
