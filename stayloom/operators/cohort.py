@@ -52,11 +52,15 @@ def cohort_counts(windows: DataFrame, included: DataFrame) -> DataFrame:
 
 
 def fan_out_audit(tables: dict[str, tuple[DataFrame, str]], n_stays: int) -> DataFrame:
-    """Rows, distinct keys and rows per stay of each table; more rows than keys points at a fan-out."""
+    """Rows, distinct keys and rows per stay of each table; more rows than keys points at a fan-out.
+
+    Each table is counted by itself: in one plan the filters of all tables' joins would stand on the driver at once.
+    """
     audits = []
     for name, (df, key) in tables.items():
+        counts = settle(df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys")))
         audits.append(
-            df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys")).select(
+            counts.select(
                 F.lit(name).alias("table_name"),
                 "n_rows",
                 "n_keys",

@@ -209,6 +209,16 @@ def test_each_modality_is_counted_from_written_stays(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(0, 2, 2, 4), (1, 2, 2, 4), (2, 0, 0, 4)]
 
 
+def test_tables_of_an_audit_are_not_joined_in_one_plan(spark):
+    tables = {
+        name: (spark.range(9).join(spark.range(n).select("id"), "id").withColumnRenamed("id", "k"), "k")
+        for name, n in (("a", 4), ("b", 6))
+    }
+    got = cohort.fan_out_audit(tables, 2)
+    assert "Join" not in scans(got) and "Aggregate" not in scans(got)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 4, 4, 2.0, 0), ("b", 6, 6, 3.0, 0)]
+
+
 def test_compressed_keys_are_not_broadcast_by_their_size_on_disk(spark):
     """A settled table counts for more than its files, which are compressed; filters of a plan fit the driver together."""
     table = settle(spark.range(1_000_000).select("id", F.lit("x").alias("same")))
