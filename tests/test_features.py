@@ -206,6 +206,24 @@ def test_classifier_queries_take_the_whole_grid_and_fused_features(spark, monkey
     assert seen == [(grids[0], 77), (grids[1], 77)] and grids == (27, 54)
 
 
+def test_classifiers_are_chosen_by_cross_validation_of_the_whole_grid(spark, frame, monkeypatch, tmp_path):
+    """Every setting is scored on every fold with all its trees: no round leaves settings out before that."""
+    from stayloom.driver import QUERIES
+
+    seen = []
+
+    def fit(training, search, *rest, **options):
+        seen.append(search)
+        return models.Found(search.estimator.fit(training, {search.estimator.maxIter: 1}), search.paths[0].settings, 0.5)
+
+    monkeypatch.setattr(models, "fit", fit)
+    monkeypatch.setattr("stayloom.driver.features._store", lambda v: models.ModelStore(spark, str(tmp_path)))
+    QUERIES["gbt_predict"](spark, "/root/testdata/sf0.001")
+    data = [(i, [float(i % 7), float(i % 3)], int(i % 7 > 3)) for i in range(200)]
+    models.fit_predict(frame("stay_id long, features array<double>, y_true int", data), "GBT")
+    assert len(seen) == 2 and all(list(s.rounds) == [models.Round(1.0, 5, 0.0)] and len(s.grid) == 54 for s in seen)
+
+
 def test_logistic_optimum(spark):
     """The gradient of the penalised loss is near zero at what the search's estimator finds."""
     import math
