@@ -19,7 +19,7 @@ from stayloom.functions.values import band
 from stayloom.operators import checks, cohort, images, notes, outcomes, windows
 from stayloom.operators.joins import restrict
 from stayloom.operators.linkage import IMAGE
-from stayloom.session import settle
+from stayloom.session import settle, tune
 
 BASE_COLUMNS = [
     "subject_id", "hadm_id", "stay_id", "admission_type", "admission_location", "discharge_location",
@@ -180,6 +180,7 @@ def _(v: Views):
     PRESENCE_VIEWS,
 )
 def _(v: Views):
+    tune(v.spark, lean=True)
     v.write_stays()
     v.write_windows("subject_id", *SELECTED, "gender", "intime", "outtime", "deathtime", "dod", "hospital_expire_flag")
     # Written before the joins: each filter of a plan stands on the driver as long as the plan runs.
@@ -202,6 +203,7 @@ def _(v: Views):
     PRESENCE_VIEWS,
 )
 def _(v: Views):
+    tune(v.spark, lean=True)
     v.write_stays()
     v.write_windows(*SELECTED)
     tables = {
